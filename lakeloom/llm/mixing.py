@@ -123,7 +123,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, **how: int) ->
     a = saved(assignment(docs, weights, **how), "mix-assignment")
     i, s, block, shard, position = fresh(docs, "mix_id", "mix_source", "block", "shard", "position")
     side = a.select(F.col("doc_id").alias(i), F.col("source").alias(s), F.col("block").alias(block), F.col("shard").alias(shard), F.col("position").alias(position))
-    side = F.broadcast(side) if a.count() <= BROADCAST_ROWS else side
+    # most documents are drawn, so the assignment grows as they do: a join by doc_id, never a broadcast
     met = (F.col("doc_id") == F.col(i)) & (F.coalesce(F.col("source").cast("string"), F.lit("")) == F.col(s))
     return docs.join(side, met).drop(quoted(i), quoted(s))
 
@@ -133,7 +133,6 @@ def drawn(docs: DataFrame, weights: dict[str, float] | None = None, **how: int)
     a = saved(assignment(docs, weights, **how).select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source")), "mix-assignment")
     i, s = fresh(docs, "mix_id", "mix_source")
     side = a.toDF(i, s)
-    side = F.broadcast(side) if a.count() <= BROADCAST_ROWS else side
     return docs.join(side, (F.col("doc_id") == F.col(i)) & (F.coalesce(F.col("source").cast("string"), F.lit("")) == F.col(s)), "left_semi")
 
 
