@@ -50,10 +50,16 @@ def list_files(spark: SparkSession, root: str, suffix: str = ".parquet") -> Data
     return spark.createDataFrame(sorted(rows), "path string, size long")
 
 
-def _open(path: str):
+def file_system(path: str):
+    """Arrow's file system for a path or URI, and the path there; names of local files may hold anything."""
     import pyarrow.fs as fs
 
-    system, name = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    local = path.removeprefix("file://") if path.startswith("file://") else path.removeprefix("file:")
+    return (fs.LocalFileSystem(), local) if "://" not in local else fs.FileSystem.from_uri(path)
+
+
+def _open(path: str):
+    system, name = file_system(path)
     return system.open_input_file(name)
 
 

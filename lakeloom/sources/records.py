@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import io
 import json
 from collections.abc import Iterator
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from lakeloom.sources.parquet import file_system
+
 
 def read_wrapped(spark: SparkSession, path: str | list[str], field: str = "results", schema: T.StructType | None = None) -> DataFrame:
     """Rows of documents ``{"results": [...]}``, plain or .gz (SRC-01, JSN-03). A top-level list is taken as it is."""
@@ -35,13 +38,18 @@ def parse_lines(text: DataFrame, schema: T.StructType, column: str = "value") ->
     return text.select(F.from_json(column, schema).alias("r")).select("r.*")
 
 
+def _binary(path: str):
+    system, name = file_system(path)
+    return system.open_input_stream(name, compression=None)
+
+
 def elements(path: str, field: str = "results", chunk: int = 1 << 20) -> Iterator[dict]:
     """The elements of the array under ``field`` of one document (or of a top-level array), one at a time.
 
     Holds one chunk and one element. Floats stay floats.
     """
     decoder = json.JSONDecoder()
-    with (gzip.open if path.endswith(".gz") else open)(path, "rt", encoding="utf-8") as f:
+    with _binary(path) as raw, io.TextIOWrapper(gzip.open(raw) if path.endswith(".gz") else raw, encoding="utf-8") as f:
         buffer, at = f.read(chunk), 0
 
         def more() -> bool:
