@@ -125,14 +125,14 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, **how: int) ->
     side = a.select(F.col("doc_id").alias(i), F.col("source").alias(s), F.col("block").alias(block), F.col("shard").alias(shard), F.col("position").alias(position))
     # most documents are drawn, so the assignment grows as they do: a join by doc_id, never a broadcast
     met = (F.col("doc_id") == F.col(i)) & (F.coalesce(F.col("source").cast("string"), F.lit("")) == F.col(s))
-    return docs.join(side, met).drop(quoted(i), quoted(s))
+    return docs.join(side.hint("merge"), met).drop(quoted(i), quoted(s))
 
 
 def drawn(docs: DataFrame, weights: dict[str, float] | None = None, **how: int) -> DataFrame:
     """The rows of ``docs`` that the mix draws, with the columns they came with."""
     a = saved(assignment(docs, weights, **how).select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source")), "mix-assignment")
     i, s = fresh(docs, "mix_id", "mix_source")
-    side = a.toDF(i, s)
+    side = a.toDF(i, s).hint("merge")  # grows with the documents, as in mix
     return docs.join(side, (F.col("doc_id") == F.col(i)) & (F.coalesce(F.col("source").cast("string"), F.lit("")) == F.col(s)), "left_semi")
 
 
