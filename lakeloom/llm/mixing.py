@@ -7,8 +7,8 @@ source are drawn by the multivariate hypergeometric law, so every way to deal th
 likely, and quotas stay exact at every level. A shard then draws its own disjoint run of its sources' permuted blocks
 and shuffles their documents locally.
 
-Everything that looks at all documents carries (doc_id, source) and hashes only; the driver holds counts of source x
-hash bucket and source x shard.
+Everything that looks at all documents carries (doc_id, source) and hashes only; the driver holds counts by source and
+the top of the tree, whose lower levels the executors split.
 
 Defined results: a null source is a source of its own, named '' in weights. A document is a doc_id with its source; rows
 that repeat one are drawn together and stay in one shard, and rows of a null doc_id, which can't be told apart, are left
@@ -19,19 +19,22 @@ An empty table gives an empty one.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeloom.llm.common import fresh, quoted, saved
+from lakeloom.llm.common import fresh, quoted, saved, ship
 
 BLOCK_DOCS, SHARD_DOCS, BUCKET_DOCS = 16, 4096, 20_000
 #: Weights, where none are given, are proportional to this power of a source's documents: large sources are held back.
 FLATTEN = 0.7
 SEED = 11
 BROADCAST_ROWS = 200_000
+TOP_NODES = 256
 
 
 def quotas(blocks: dict[str, int], weights: dict[str, float]) -> dict[str, int]:
@@ -51,31 +54,67 @@ def quotas(blocks: dict[str, int], weights: dict[str, float]) -> dict[str, int]:
     return out
 
 
+Node = tuple[int, int, list[int], list[int]]  # shards from a up to z, their blocks by source, and the blocks before them
+
+
+def halves(node: Node, ends: Callable[[int], int], seed: int) -> tuple[Node, Node]:
+    """The two children of a node of two shards or more; the left one's blocks are drawn."""
+    a, z, have, low = node
+    m = (a + z) // 2
+    rng = np.random.default_rng([seed, a, z])  # a node's draw depends on nothing but its place
+    take, left, want = [], sum(have), ends(m) - ends(a)
+    for h in have:
+        left -= h
+        t = int(rng.hypergeometric(h, left, want)) if h and want and left else min(h, want)
+        take.append(t)
+        want -= t
+    return (a, m, take, low), (m, z, [h - t for h, t in zip(have, take, strict=True)], [x + t for x, t in zip(low, take, strict=True)])
+
+
+def leaves(node: Node, ends: Callable[[int], int], seed: int) -> Iterator[Node]:
+    todo = [node]
+    while todo:
+        n = todo.pop()
+        if n[1] - n[0] == 1:
+            yield n
+        else:
+            todo += halves(n, ends, seed)
+
+
 def split(quota: np.ndarray, shards: int, seed: int) -> np.ndarray:
     """Blocks by shard and source: the tree's leaves. Shard sizes differ by one block at most."""
     total = int(quota.sum())
-    ends = [total * k // shards for k in range(shards + 1)]
     out = np.zeros((shards, len(quota)), np.int64)
-    todo = [(0, shards, quota.astype(np.int64))]
-    while todo:
-        a, z, have = todo.pop()
-        if z - a == 1:
-            out[a] = have
-            continue
-        m = (a + z) // 2
-        rng = np.random.default_rng([seed, a, z])  # a node's draw depends on nothing but its place
-        take, left, want = np.zeros_like(have), int(have.sum()), ends[m] - ends[a]
-        for s, h in enumerate(have.tolist()):
-            left -= h
-            take[s] = rng.hypergeometric(h, left, want) if h and want and left else min(h, want)
-            want -= int(take[s])
-        todo += [(a, m, take), (m, z, have - take)]
+    for a, _, have, _ in leaves((0, shards, quota.tolist(), [0] * len(quota)), lambda k: total * k // shards, seed):
+        out[a] = have
     return out
 
 
+def ranges(spark: SparkSession, names: list[str], quota: list[int], shards: int, seed: int) -> DataFrame:
+    """(source, shard, low, high): the run of drawn ranks that each shard has of each source.
+
+    The top of the tree is split here until there are TOP_NODES nodes; the executors go on from there.
+    """
+    total = sum(quota)
+    ends = lambda k: total * k // shards
+    todo: list[Node] = [(0, shards, quota, [0] * len(quota))]
+    while len(todo) < TOP_NODES and any(z - a > 1 for a, z, _, _ in todo):
+        todo = [c for n in todo for c in (halves(n, ends, seed) if n[1] - n[0] > 1 else (n,))]
+
+    def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for node in b.itertuples(index=False):
+                rows = [(s, a, x, x + h) for a, _, have, low in leaves((node.a, node.z, list(node.have), list(node.low)), ends, seed) for s, h, x in zip(names, have, low, strict=True) if h]
+                yield pd.DataFrame(rows, columns=["source", "shard", "low", "high"])
+
+    nodes = spark.createDataFrame(todo, "a long, z long, have array<long>, low array<long>")
+    return nodes.repartition(min(len(todo), spark.sparkContext.defaultParallelism), "a").mapInPandas(grow, "source string, shard long, low long, high long")
+
+
 def assignment(docs: DataFrame, weights: dict[str, float] | None = None, block_docs: int = BLOCK_DOCS, shard_docs: int = SHARD_DOCS, seed: int = SEED) -> DataFrame:
     """(doc_id, source, block, shard, position) of every document drawn."""
     spark = docs.sparkSession
+    ship(spark)
     base = docs.select(F.col("doc_id").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source")).where("doc_id is not null").distinct()
     base = saved(base.withColumn("h", F.xxhash64(F.lit(seed), "source", "doc_id")), "mix-keys")
     n = base.count()
@@ -89,31 +128,26 @@ def assignment(docs: DataFrame, weights: dict[str, float] | None = None, block_d
     weights = weights if weights is not None else {s: k**FLATTEN for s, k in sizes.items()}
     quota = quotas(blocks, weights)
     names = sorted(quota)
-    drawn = np.array([quota[s] for s in names], np.int64)
-    shards = max(1, -(-int(drawn.sum()) * block_docs // shard_docs))
-    leaves = split(drawn, shards, seed)
-    ends = np.cumsum(leaves, 0)
+    total = sum(quota.values())
+    shards = max(1, -(-total * block_docs // shard_docs))
     rng = np.random.default_rng(seed)
-    plan, steps = [], []
-    for j, s in enumerate(names):
+    steps = []
+    for s in names:
         b = blocks[s]
         a = int(rng.integers(1, b + 1))
         while math.gcd(a, b) > 1:
             a += 1
         steps.append((s, b, a % b, int(rng.integers(0, b))))
-        plan += [(s, k, int(ends[k, j] - leaves[k, j]), int(ends[k, j])) for k in range(shards) if leaves[k, j]]
-    if not plan:
-        plan, steps = [("", 0, 0, 0)], [("", 1, 0, 0)]
     side = lambda df, rows: F.broadcast(df) if rows <= BROADCAST_ROWS else df
     per_source = side(spark.createDataFrame(steps, "source string, b long, a long, c long"), len(steps))
-    ranges = spark.createDataFrame(plan, "source string, shard int, low long, high long")
     order = Window.partitionBy("source", "bucket").orderBy("h", "doc_id")
     placed = keyed.join(side(before, len(names) << bits), ["source", "bucket"]).withColumn("block", F.floor((F.col("before") + F.row_number().over(order) - 1) / block_docs).cast("long"))
     # a bijection of the source's blocks: the rank at which a block is drawn
     ranked = placed.join(per_source, "source").withColumn("rank", (F.col("block") * F.col("a") + F.col("c")) % F.col("b")).drop("a", "b", "c")
     # a run of ranks for each shard and source, a row a block; documents meet their block by an equi-join
-    drawn_blocks = ranges.where("high > low").select("source", "shard", F.explode(F.sequence("low", F.col("high") - 1)).alias("rank"))
-    dealt = ranked.join(side(drawn_blocks, int(drawn.sum())), ["source", "rank"])
+    runs = ranges(spark, names, [quota[s] for s in names], shards, seed)
+    drawn_blocks = runs.select("source", "shard", F.explode(F.sequence("low", F.col("high") - 1)).alias("rank"))
+    dealt = ranked.join(side(drawn_blocks, total), ["source", "rank"])
     local = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed + 1), "h"), "doc_id", "source")
     return dealt.withColumn("position", F.row_number().over(local)).select("doc_id", "source", "block", "shard", "position")
 
