@@ -27,8 +27,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from lakeloom.llm.common import delete, fresh, quoted, saved, scratch, ship
 
-#: Slices of the digest that key the state: the unit of parallel work, fixed for the life of a stream's state.
-SLICES = 1024
+#: Slices of the digest that key the state: the unit of parallel work, fixed for the life of a stream's state. A new
+#: stream has one for each SLICE_BYTES of its first input, SLICES at least, so that a slice's rows fit a worker.
+SLICES, SLICE_BYTES = 1024, 64 << 20
 #: Up to so many digests of hits are sent to all executors; more are joined by a shuffle.
 BROADCAST_DIGESTS = 200_000
 
@@ -76,14 +77,30 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def slices_of(spark: SparkSession, path: str, home: str) -> int:
+    """The number of slices of the stream at ``home``, which a name in its folder keeps; a new one's goes by its input."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    at = hadoop.Path(home)
+    fs = at.getFileSystem(conf)
+    kept = fs.globStatus(hadoop.Path(f"{home}/slices-*"))
+    if kept is not None and len(kept):
+        return int(kept[0].getPath().getName().rpartition("-")[2])
+    source = hadoop.Path(path)
+    n = max(SLICES, -(-source.getFileSystem(conf).getContentSummary(source).getLength() // SLICE_BYTES))
+    fs.mkdirs(at)
+    fs.create(hadoop.Path(f"{home}/slices-{n}")).close()
+    return n
+
+
 def first_seen(spark: SparkSession, path: str, schema: T.StructType, home: str, digest_of=digest) -> DataFrame:
     """Runs the stream over the files under ``path`` that it hasn't had and returns its rows of this run."""
     ship(spark)
+    n = slices_of(spark, path, home)
     keyed = (
         spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")  # a pattern may stand for one file, a path only for a folder
         .select(digest_of(F.col("text")).alias("digest"), F.col("doc_id").cast("long").alias("doc_id"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
         .where("digest is not null")
-        .withColumn("slice", F.pmod(F.xxhash64("digest"), F.lit(SLICES)).cast("int"))
+        .withColumn("slice", F.pmod(F.xxhash64("digest"), F.lit(n)).cast("int"))
     )
     decided = keyed.groupBy("slice").transformWithState(FirstSeen(), OUT, "append", "none")
     out = f"{home}/decided"
