@@ -232,6 +232,8 @@ class UnigramVocabulary:
                 best[r, p + w] = c
                 for j in range(4):  # a step for each byte; no piece ends inside a character
                     on = w > j
+                    if not on.any():
+                        break
                     back[r[on], p + j + 1] = p + j
                     ids[r[on], p + j + 1] = self.byte_ids[text[r[on], p + j]]
         steps, at, live = [], size.copy(), np.arange(n)
