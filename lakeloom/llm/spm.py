@@ -28,7 +28,7 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
 #: Bytes of text that one step of the worker holds, and distinct chunks that it remembers: they bound memory, not results.
-STEP_BYTES, REMEMBERED = 4_000_000, 400_000
+STEP_BYTES, REMEMBERED = 2_000_000, 150_000
 WIDE = 64
 
 
