@@ -2,7 +2,8 @@
 
 Each source is put in a keyed random order and cut into blocks of ``block_docs`` documents (the last may be short).
 Quotas: the largest number of blocks N for which every source s has its exact share w_s N (by largest remainders)
-without repeating any block. The tree halves the range of output shards; at each node the left half's blocks of every
+without repeating any block. Without given weights, targets are ``targets``: scarce sources are taken whole and don't
+bound the others, which are drawn to weights that hold large sources back. The tree halves the range of output shards; at each node the left half's blocks of every
 source are drawn by the multivariate hypergeometric law, so every way to deal the blocks to the shards is equally
 likely, and quotas stay exact at every level. A shard then draws its own disjoint run of its sources' permuted blocks
 and shuffles their documents locally.
@@ -32,6 +33,9 @@ from lakeloom.llm.common import fresh, quoted, saved, ship
 BLOCK_DOCS, SHARD_DOCS, BUCKET_DOCS = 16, 4096, 20_000
 #: Weights, where none are given, are proportional to this power of a source's documents: large sources are held back.
 FLATTEN = 0.7
+#: Where no weights are given, a source is scarce that has less than SCARCE of the documents of the source in which, from the
+#: smallest source on, the TAIL-th part of all documents lies.
+TAIL, SCARCE = 0.05, 0.25
 SEED = 11
 BROADCAST_ROWS = 200_000
 TOP_NODES = 256
@@ -54,6 +58,18 @@ def quotas(blocks: dict[str, int], weights: dict[str, float]) -> dict[str, int]:
     return out
 
 
+def targets(sizes: dict[str, int], block_docs: int) -> dict[str, int]:
+    """Blocks of each source where no weights are given: scarce sources whole, the others by quotas of their flattened sizes."""
+    blocks = {s: -(-k // block_docs) for s, k in sizes.items()}
+    tail, before = 0, 0
+    for k in sorted(sizes.values()):
+        tail, before = k, before + k
+        if before >= TAIL * sum(sizes.values()):
+            break
+    rest = {s: k for s, k in sizes.items() if k >= SCARCE * tail}
+    return {s: b for s, b in blocks.items() if s not in rest} | quotas({s: blocks[s] for s in rest}, {s: k**FLATTEN for s, k in rest.items()})
+
+
 Node = tuple[int, int, list[int], list[int]]  # shards from a up to z, their blocks by source, and the blocks before them
 
 
@@ -125,8 +141,7 @@ def assignment(docs: DataFrame, weights: dict[str, float] | None = None, block_d
     before = counts.withColumn("before", F.sum("count").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))).select("source", "bucket", F.coalesce("before", F.lit(0)).alias("before"))
     sizes = {r["source"]: r["n"] for r in counts.groupBy("source").agg(F.sum("count").alias("n")).orderBy("source").collect()}
     blocks = {s: -(-k // block_docs) for s, k in sizes.items()}
-    weights = weights if weights is not None else {s: k**FLATTEN for s, k in sizes.items()}
-    quota = quotas(blocks, weights)
+    quota = quotas(blocks, weights) if weights is not None else targets(sizes, block_docs)
     names = sorted(quota)
     total = sum(quota.values())
     shards = max(1, -(-total * block_docs // shard_docs))

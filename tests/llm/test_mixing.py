@@ -55,6 +55,18 @@ def test_whole_table(spark):
     assert {(r["doc_id"], r["text"]) for r in got} <= {(r["doc_id"], r["text"]) for r in table}
 
 
+def test_tiny_sources_do_not_bound_the_mix(spark):
+    """One tiny and one null source beside a hot one: both are whole, and the others are drawn as without them."""
+    many = {"hot": 5_000_000} | {f"s{i}": 250_000 for i in range(19)}
+    alone, beside = mixing.targets(many, 16), mixing.targets(many | {"tiny": 16, "": 3} | {f"t{i}": 5 for i in range(300)}, 16)
+    assert {s: beside[s] for s in many} == alone and 0.69 < sum(alone.values()) * 16 / 9_750_000 < 0.71
+    assert beside["tiny"] == beside[""] == beside["t7"] == 1
+    rows = [(i, f"t{i}", "hot") for i in range(4000)] + [(10_000 + i, "x", f"s{i % 4}") for i in range(1600)] + [(20_000 + i, "y", "tiny") for i in range(3)] + [(30_000 + i, "z", None) for i in range(2)]
+    got = Counter(r["source"] for r in mixing.drawn(docs(spark, rows)).collect())
+    assert got["tiny"] == 3 and got[None] == 2 and all(got[f"s{i}"] == 400 for i in range(4))
+    assert abs(got["hot"] - 400 * 10**0.7) <= 16
+
+
 def test_defined_results(spark):
     rows = [(1, None, None), (2, "", None), (3, "x", "s"), (3, "x", "s"), (None, "y", "s"), (4, "w " * 50_000, "s")]
     df = docs(spark, rows).selectExpr("*", "1 AS block", "2 AS shard", "3 AS mix_id", "4 AS h")
