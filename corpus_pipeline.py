@@ -13,8 +13,8 @@ from lakeloom.llm.common import documents, saved
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ordinal classifier rejects go."""
-    return quality.select(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    """Documents that the ordinal classifier rejects or holds toxic go."""
+    return quality.select(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), reject_toxic=True)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

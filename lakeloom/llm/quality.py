@@ -7,6 +7,10 @@ punctuation, hashed shapes of raw tokens (letters as a, digits as 0, other marks
 tokens that repeat the one before. Fitting uses at most ``max_labelled`` labelled documents, those of the least keyed hash
 of doc_id; scoring reads every document.
 
+Toxic words are few in a long text, so relative frequencies hardly show them. Marks are features whose presence tells toxic
+from clean among good labelled documents, beyond chance; a document with a mark has its P(grade >= 2) lowered by the share
+of toxic ones among such, and with ``reject_toxic`` it isn't kept if that falls under KEEP_TAIL.
+
 Defined results: a null or empty text has no features, so its score is the bias alone; null grades are left out of the
 fit, and of several grades for a document the least counts. With fewer than two grades to learn from, every document
 gets that grade (or 0) and is kept. Repeated rows are scored alike. Extra columns don't matter. Empty tables give empty
@@ -17,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +38,8 @@ REPEAT = SIZE  # the feature after the hashed ones
 MAX_LABELLED = 8_000
 #: A document is kept if its chance of a grade of at least KEEP_GRADE is KEEP_TAIL or more.
 KEEP_GRADE, KEEP_TAIL = 1, 0.5
+#: Marks: the chance of any by accident, at most, and the share of clean labelled documents that may have one.
+MARK_CHANCE, CLEAN_LOST = 0.05, 0.01
 
 _LETTER, _DIGIT, _RUN = re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile(r"([^a0])\1+")
 _words: dict[str, int] = {}
@@ -77,11 +83,25 @@ class OrdinalModel:
     weights: np.ndarray
     thresholds: np.ndarray
     grades: int = 3
+    marks: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    toxic: float = 0.0  # the share of toxic documents among those with marks
 
     def scores(self, texts: list[str]) -> np.ndarray:
         w, s, same, n = token_features(texts)
         return sums(self.weights[w] + self.weights[s] + self.weights[REPEAT] * same, n) / np.maximum(n, 1)
 
+    def judged(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The tails with marks taken into account, and whether marks make a text toxic."""
+        p = self.tails(self.scores(texts))
+        if not len(self.marks):
+            return p, np.zeros(len(texts), bool)
+        flags = np.zeros(SIZE)
+        flags[self.marks] = 1
+        w, s, _, n = token_features(texts)
+        marked = sums(flags[w] + flags[s], n) > 0
+        p[marked, 1:] *= 1 - self.toxic
+        return p, marked & (p[:, 1] < KEEP_TAIL)
+
     def tails(self, scores: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k from 1 on, a column each."""
         return 1 / (1 + np.exp(-np.clip(scores[:, None] - self.thresholds, -40, 40)))
@@ -122,6 +142,37 @@ def fit(index: list[np.ndarray], value: list[np.ndarray], grade: np.ndarray, epo
     return OrdinalModel(w, t, grades)
 
 
+def find_marks(index: list[np.ndarray], grade: np.ndarray) -> tuple[np.ndarray, float]:
+    """Features whose presence tells grade 1 from grade 2, and the share of grade 1 among documents with one of them."""
+    some = [(i[i < SIZE], g == 1) for i, g in zip(index, grade.tolist(), strict=True) if g]
+    base = float(np.mean([t for _, t in some])) if some else 0.0
+    if not 0 < base < 1:
+        return np.zeros(0, np.int64), 0.0
+    every = np.bincount(np.concatenate([i for i, _ in some]), minlength=SIZE)
+    toxic = np.bincount(np.concatenate([i for i, t in some if t]), minlength=SIZE)
+    share = toxic / np.maximum(every, 1)
+    # Chernoff's bound on the chance of such a share, over all features that could have it
+    x = np.clip(share, 1e-12, 1 - 1e-12)
+    bound = -every * (x * np.log(x / base) + (1 - x) * np.log((1 - x) / (1 - base)))
+    got = np.flatnonzero((share > 0.5) & (share > base) & (bound <= np.log(MARK_CHANCE / max(1, int((every > 1).sum())))))
+    clean = [i for i, t in some if not t]
+    rows, cols = np.repeat(np.arange(len(clean)), [len(i) for i in clean]), np.concatenate(clean)
+    near = np.isin(cols, got)
+    rows, cols = rows[near], cols[near]
+    flags, lost, marks = np.zeros(SIZE, bool), np.zeros(len(clean), bool), []
+    for f in got[np.lexsort((got, -every[got], -share[got]))].tolist():  # the surest first, as long as clean documents stay
+        more = lost.copy()
+        more[rows[cols == f]] = True
+        if more.mean() > CLEAN_LOST:
+            break
+        lost = more
+        marks.append(f)
+    got = np.array(marks, np.int64)
+    flags[got] = True
+    hit = [t for i, t in some if flags[i].any()]
+    return got, (sum(hit) + 0.5) / (len(hit) + 1) if hit else 0.0
+
+
 def sparse(texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Feature numbers and values of each text."""
     w, s, same, n = token_features(texts)
@@ -157,40 +208,45 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     got = rows.mapInArrow(run, f"doc_id {kind}, grade int, i array<bigint>, v array<double>").toArrow()
     order = np.lexsort((got["v"].combine_chunks().value_lengths().to_numpy(), got["doc_id"].to_numpy())) if got.num_rows else np.zeros(0, int)
     index, value = ([c[k].values.to_numpy() for k in order] for c in (got["i"].combine_chunks(), got["v"].combine_chunks()))
-    return fit(index, value, got["grade"].to_numpy()[order].astype(int) if got.num_rows else np.zeros(0, int))
+    graded = got["grade"].to_numpy()[order].astype(int) if got.num_rows else np.zeros(0, int)
+    model = fit(index, value, graded)
+    model.marks, model.toxic = find_marks(index, graded)
+    return model
 
 
 def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
-    """Rows (doc_id, expected_grade, tail_1, tail_2) of all documents; narrow."""
+    """Rows (doc_id, expected_grade, tail_1, tail_2, toxic) of all documents; narrow."""
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))
+    shared = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds, model.grades, model.marks, model.toxic))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = OrdinalModel(*shared.value)
         for part, texts in steps(batches, 1):
-            p = m.tails(m.scores(texts))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(p.sum(1)), pa.array(p[:, 0]), pa.array(p[:, 1])], ["doc_id", "expected_grade", "tail_1", "tail_2"])
+            p, toxic = m.judged(texts)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(p.sum(1)), pa.array(p[:, 0]), pa.array(p[:, 1]), pa.array(toxic)], ["doc_id", "expected_grade", "tail_1", "tail_2", "toxic"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, expected_grade double, tail_1 double, tail_2 double")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, expected_grade double, tail_1 double, tail_2 double, toxic boolean")
 
 
-def quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, reject_toxic: bool = False) -> DataFrame:
     """Expected grade, tail probabilities and the decision ``keep`` for every document."""
-    return score(docs, train(docs, labels, max_labelled)).withColumn("keep", F.col(f"tail_{KEEP_GRADE}") >= KEEP_TAIL)
+    good = F.col(f"tail_{KEEP_GRADE}") >= KEEP_TAIL
+    return score(docs, train(docs, labels, max_labelled)).withColumn("keep", good & ~F.col("toxic") if reject_toxic else good)
 
 
-def select(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
+def select(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, reject_toxic: bool = False) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, with the columns they came with; one pass, no join."""
     model = train(docs, labels, max_labelled)
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))
+    shared = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds, model.grades, model.marks, model.toxic))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = OrdinalModel(*shared.value)
         for part, texts in steps(batches, at):
-            yield part.filter(pa.array(m.tails(m.scores(texts))[:, KEEP_GRADE - 1] >= KEEP_TAIL))
+            p, toxic = m.judged(texts)
+            yield part.filter(pa.array((p[:, KEEP_GRADE - 1] >= KEEP_TAIL) & ~(toxic & reject_toxic)))
 
     return docs.mapInArrow(run, docs.schema)

@@ -41,6 +41,19 @@ def test_held_out_accuracy(spark):
     assert np.mean(bad) <= 0.25
 
 
+def test_held_out_toxic_documents_go(spark):
+    """Trained on half of the labelled documents: toxic ones of the other half go, clean ones stay; both ways to decide agree."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    d = spark.read.parquet(f"{sf}/documents.parquet").join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    half = labels.where("doc_id % 2 = 0")
+    got = {r["doc_id"]: r["keep"] for r in quality.quality(d, half, reject_toxic=True).collect()}
+    held = [(got[r["doc_id"]], r["toxic"]) for r in labels.where("doc_id % 2 = 1 AND quality = 1").collect() if r["doc_id"] in got]
+    toxic, clean = [k for k, t in held if t == 1], [k for k, t in held if t == 0]
+    assert len(toxic) > 150 and np.mean(toxic) <= 0.15 and np.mean(clean) >= 0.98, (np.mean(toxic), np.mean(clean))
+    assert {i for i, k in got.items() if k} == {r["doc_id"] for r in quality.select(d, half, reject_toxic=True).collect()}
+
+
 def test_defined_results(spark):
     rows = [(1, None), (2, ""), (3, "good plain words"), (3, "good plain words"), (None, "x"), (4, "w " * 100_000)]
     df = docs(spark, rows).selectExpr("*", "1 AS keep", "2 AS tail_1", "3 AS grade")
