@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
+#: Folders of the shared folder that this process made and hasn't deleted.
+scratched: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,10 +34,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    scratched.add(path)
+    return path
 
 
 def delete(spark: SparkSession, path: str) -> None:
+    scratched.discard(path)
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
@@ -48,7 +53,22 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 def reread(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables of ``saved`` that no result reads any more."""
+    for t in tables:
+        if getattr(t, "saved_at", None):
+            delete(t.sparkSession, t.saved_at)
+
+
+def sweep(spark: SparkSession, before: set[str], keep: DataFrame) -> None:
+    """Deletes what was written to scratch since ``before`` (a copy of ``scratched``), except ``keep``."""
+    for path in sorted(scratched - before - {keep.saved_at}):
+        delete(spark, path)
 
 
 def ship(spark: SparkSession) -> None:
