@@ -41,8 +41,15 @@ def _blobs(keys: np.ndarray, ids: np.ndarray, parts: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(blobs, pa.binary())], ["part", "pairs"])
 
 
-def grouped(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, id) of all keys with several ids, sorted; a bucket's number is a hash of its members, equal sets count once."""
+Refine = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def grouped(keys: np.ndarray, ids: np.ndarray, refine: Refine | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, id) of all keys with several ids, sorted; a bucket's number is a hash of its members, equal sets count once.
+
+    ``refine(starts, ids)`` numbers the parts of each bucket that are looked at apart, where members of a key don't all matter
+    to each other.
+    """
     bits = max(10, int(len(keys)).bit_length() + 2)
     slot = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
     some = np.bincount(slot, minlength=1 << bits)[slot] > 1  # a slot of one pair is a key of one pair
@@ -56,6 +63,17 @@ def grouped(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int64), ids
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     n = np.diff(np.append(starts, len(keys)))
+    if refine is not None:
+        some = np.repeat(n > 1, n)
+        keys, ids = keys[some], ids[some]
+        if not len(keys):
+            return np.zeros(0, np.int64), ids
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        part = refine(starts, ids)
+        order = np.lexsort((ids, part, keys))
+        keys, ids, part = keys[order], ids[order], part[order]
+        starts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (part[1:] != part[:-1])]))
+        n = np.diff(np.append(starts, len(keys)))
     x = ids.view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
     name = np.add.reduceat(x ^ (x >> np.uint64(29)), starts) + n.astype(np.uint64)
@@ -78,7 +96,7 @@ def hot_keys(rows: DataFrame, make: Callable[[pa.RecordBatch], Made]) -> np.ndar
     return np.array(sorted(r["key"] for r in seen.select("key").collect()), np.int64).view(np.uint64)
 
 
-def buckets(rows: DataFrame, make: Callable[[pa.RecordBatch], Made], width: int, cells: Callable[[pa.RecordBatch, np.ndarray], np.ndarray] | None = None) -> DataFrame:
+def buckets(rows: DataFrame, make: Callable[[pa.RecordBatch], Made], width: int, cells: Callable[[pa.RecordBatch, np.ndarray], np.ndarray] | None = None, refine: Refine | None = None) -> DataFrame:
     """(bucket, id) of the ids that share a key with others.
 
     ``make`` gives ids and ``width`` keys of each row of a batch (key 0 is none); ``cells(batch, row)`` gives the cells, a
@@ -124,9 +142,34 @@ def buckets(rows: DataFrame, make: Callable[[pa.RecordBatch], Made], width: int,
                 by_part.setdefault(p, []).append(x)
         for p in sorted(by_part):
             pairs = np.frombuffer(b"".join(by_part.pop(p)), PAIR)
-            name, ids = grouped(pairs["low"].astype(np.uint64) | pairs["mid"].astype(np.uint64) << np.uint64(32), pairs["id"].astype(np.int64))
+            name, ids = grouped(pairs["low"].astype(np.uint64) | pairs["mid"].astype(np.uint64) << np.uint64(32), pairs["id"].astype(np.int64), refine)
             for a in range(0, len(ids), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(name[a : a + 100_000]), pa.array(ids[a : a + 100_000])], ["bucket", "id"])
 
     packed = rows.mapInArrow(pack, "part int, pairs binary").repartitionById(parts, F.col("part"))
     return packed.mapInArrow(search, "bucket long, id long")
+
+
+def in_blocks(members: DataFrame, rows: int) -> DataFrame:
+    """(bucket, id) again, large buckets replaced by one for each two of their blocks of ``rows`` members."""
+    large = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows)
+    large = large.select("bucket", F.ceil(F.col("n") / rows).alias("blocks"))  # a row for so many members at most
+    met = members.join(large, "bucket", "left").withColumn("own", F.coalesce(F.pmod(F.xxhash64("id"), "blocks"), F.lit(0)))
+    cut = met.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("blocks", F.lit(1)) - 1)).alias("other"))
+    return cut.select(F.when(F.col("blocks").isNull(), F.col("bucket")).otherwise(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))).alias("bucket"), "id")
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows again, cut so that no group (equal first column, sorted) goes over an end."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        b = batch.column(0).to_numpy()
+        cut = int(np.searchsorted(b, b[-1]))
+        if cut or (held and held[-1].column(0)[-1].as_py() != b[0]):
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks()
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()

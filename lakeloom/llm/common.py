@@ -65,6 +65,12 @@ def forget(*tables: DataFrame) -> None:
             delete(t.sparkSession, t.saved_at)
 
 
+def clean(spark: SparkSession) -> None:
+    """Deletes all that this process has written to the shared folder: results that weren't written elsewhere end with it."""
+    for path in sorted(scratched):
+        delete(spark, path)
+
+
 def sweep(spark: SparkSession, before: set[str], keep: DataFrame) -> None:
     """Deletes what was written to scratch since ``before`` (a copy of ``scratched``), except ``keep``."""
     for path in sorted(scratched - before - {keep.saved_at}):
@@ -85,6 +91,23 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+_caches: dict[str, list] = {}
+
+
+def cache(owner: str, store):
+    """Registers what a worker remembers for ``owner`` between tasks, to be given up when another takes over."""
+    _caches.setdefault(owner, []).append(store)
+    return store
+
+
+def claim(owner: str) -> None:
+    """Workers are used again by stage after stage: only the stage at work keeps what it remembers."""
+    for name, stores in _caches.items():
+        if name != owner:
+            for s in stores:
+                s.clear()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
