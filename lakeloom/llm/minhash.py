@@ -5,15 +5,18 @@ it has fewer). PERMUTATIONS universal hashes, (a x + b) mod 2^64 with odd a and
 minima; BANDS bands of ROWS minima give candidates; those whose signatures agree in a share of THRESHOLD or more are tied,
 and components of the ties, by alternating large-star and small-star, are the groups. The least doc_id of a group stays.
 
-Documents of one signature are tied first and stand for one. Within a bucket of a band all members are compared with the
-members not yet reached (a breadth-first search), so every tie that can join components is found, with no cap, and a
-group of near copies costs about one comparison each.
+Documents of one signature are tied first and stand for one, so a bucket holds different signatures only. Within a bucket of
+a band all members are compared with the members not yet reached (a breadth-first search), so every tie that can join
+components is found, with no cap, and a group of near copies costs about one comparison each. Of a bucket of more than
+BLOCK_ROWS members each two blocks are searched by a task of their own.
 
 At Jaccard similarity 0.5 a pair shares a band with probability 0.92, at 0.6 with 0.996.
 
-Defined results: null texts and texts without words have no signature and always stay. Rows without doc_id always stay.
-Of rows that share a doc_id one stays if it has several signatures alike; whole repeated rows count once. Extra columns
-are carried along. An empty table gives an empty one.
+Defined results: null texts and texts without words have no signature and always stay. Rows without doc_id, or with one that
+isn't a whole number, always stay. A document is a doc_id with its text: rows that repeat both are one document, of which one
+row stays at most (the least by a hash of all columns); texts of one doc_id are told apart by a hash, are as like or unlike
+as those of others, and go alone; among them the lesser hash is first. Texts are taken whole, very long ones too. Extra
+columns are carried along. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -28,7 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeloom.llm.common import saved, ship
+from lakeloom.llm.buckets import buckets, in_blocks, whole_groups
+from lakeloom.llm.common import cache, claim, forget, fresh, quoted, saved, ship
 from lakeloom.llm.components import components
 from lakeloom.llm.spm import REMEMBERED, steps
 
@@ -39,13 +43,15 @@ THRESHOLD = 0.47
 BROADCAST_IDS = 500_000
 #: Shingles hashed at once: they stay in a core's cache.
 BLOCK = 1 << 15
+#: Members of a bucket, with their signatures, that one task searches.
+BLOCK_ROWS = 50_000
 
 _rng = np.random.default_rng(20240229)
 A = _rng.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 B = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2)
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 _WORD = re.compile(r"\w+")
-_hashes: dict[str, int] = {}
+_hashes: dict[str, int] = cache("minhash", {})
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -104,26 +110,33 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, sig, keys) of the documents that have words and an id."""
+    """(doc_id, tk, sig, keys) of the documents that have words and an id; tk is a hash of the text."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in steps(batches, 1):
+        claim("minhash")
+        for part, texts in steps(batches, 2):
             x, n = shingles(texts)
             sig = signatures(x, n)
             raw, width = sig.tobytes(), 4 * PERMUTATIONS
             keys = band_keys(sig)
+            some = pa.array(n > 0)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(0).filter(pa.array(n > 0)),
+                    part.column(0).filter(some),
+                    part.column(1).filter(some),
                     pa.Array.from_buffers(pa.binary(), len(sig), [None, pa.array(np.arange(len(sig) + 1) * width, pa.int32()).buffers()[1], pa.py_buffer(raw)]),
                     pa.ListArray.from_arrays(pa.array(np.arange(len(sig) + 1) * BANDS, pa.int32()), pa.array(keys.ravel())),
                 ],
-                ["doc_id", "sig", "keys"],
+                ["doc_id", "tk", "sig", "keys"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    return rows.mapInArrow(run, "doc_id long, sig binary, keys array<long>")
+    rows = docs.select(F.col("doc_id").try_cast("long").alias("doc_id"), F.xxhash64("text").alias("tk"), F.col("text").cast("string").alias("text"))
+    return rows.where("doc_id is not null and text is not null").mapInArrow(run, "doc_id long, tk long, sig binary, keys array<long>")
+
+
+def keys_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return batch.column(0).to_numpy(), batch.column(1).flatten().to_numpy().reshape(-1, BANDS).view(np.uint64)
 
 
 def ties(ids: np.ndarray, sig: np.ndarray, threshold: float) -> list[tuple[int, int]]:
@@ -157,12 +170,9 @@ def _verify(threshold: float):
             yield np.array([u for u, _ in e], np.int64), np.array([v for _, v in e], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []  # whole buckets come one after the other; the last of a batch may go on
-
-        def done(part: pa.Table) -> Iterator[pa.RecordBatch]:
-            part = part.combine_chunks()
+        for part in whole_groups(batches):
             if not part.num_rows:
-                return
+                continue
             b = part["bucket"].to_numpy()
             ids = part["doc_id"].to_numpy()
             sig = np.frombuffer(b"".join(part["sig"].to_pylist()), np.uint32).reshape(-1, PERMUTATIONS)
@@ -171,42 +181,49 @@ def _verify(threshold: float):
                 if len(u):
                     yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], schema=edge)
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            b = batch.column(0).to_numpy()
-            cut = int(np.searchsorted(b, b[-1]))  # sorted by bucket
-            if cut or (held and held[-1].column(0)[-1].as_py() != b[0]):
-                yield from done(pa.Table.from_batches([*held, batch.slice(0, cut)]))
-                held = []
-            held.append(batch.slice(cut))
-        if held:
-            yield from done(pa.Table.from_batches(held))
-
     return run
 
 
+def members(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, tk, keep_id, keep_tk) of the documents in groups of several, a row for each row of ``docs``; the least stays."""
+    sigs = saved(signed(docs).select(F.monotonically_increasing_id().alias("node"), "doc_id", "tk", "sig", "keys", F.xxhash64("sig").alias("k1"), F.xxhash64(F.lit(7), "sig").alias("k2")), "minhash-signatures")
+    one = F.struct("doc_id", "tk", "node")
+    reps = sigs.groupBy("k1", "k2").agg(F.min(one).alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    same = sigs.select("node", "doc_id", "tk", "k1", "k2").join(reps, ["k1", "k2"]).where("node <> rep.node")
+    same = saved(same.select("node", "doc_id", "tk", F.col("rep.node").alias("rep"), F.col("rep.doc_id").alias("rep_id"), F.col("rep.tk").alias("rep_tk")), "minhash-alike")
+    met = saved(buckets(sigs.select("node", "keys").join(same.select("node"), "node", "left_anti"), keys_of, BANDS).distinct(), "minhash-buckets")
+    beside = in_blocks(met, BLOCK_ROWS).join(sigs.select(F.col("node").alias("id"), "sig"), "id").repartition("bucket").sortWithinPartitions("bucket", "id").select("bucket", F.col("id").alias("doc_id"), "sig")
+    found = components(beside.mapInArrow(_verify(threshold), "u long, v long"))
+    tied = found.join(sigs.select("node", "doc_id", "tk"), "node")
+    least = tied.groupBy("component").agg(F.min(F.struct("doc_id", "tk")).alias("keep"))
+    tied = saved(tied.join(least, "component").select("node", "doc_id", "tk", F.col("keep.doc_id").alias("keep_id"), F.col("keep.tk").alias("keep_tk")), "minhash-tied")
+    # those alike follow the one that stands for them, which may be alone with them
+    keep = tied.select(F.col("node").alias("rep"), "keep_id", "keep_tk")
+    rest = same.join(keep, "rep", "left").select("doc_id", "tk", F.coalesce("keep_id", "rep_id").alias("keep_id"), F.coalesce("keep_tk", "rep_tk").alias("keep_tk"))
+    heads = same.select("rep", "rep_id", "rep_tk").distinct().join(keep, "rep", "left_anti").select(F.col("rep_id").alias("doc_id"), F.col("rep_tk").alias("tk"), F.col("rep_id").alias("keep_id"), F.col("rep_tk").alias("keep_tk"))
+    out = saved(tied.drop("node").unionByName(rest).unionByName(heads), "minhash-groups")
+    forget(sigs, same, met, tied)
+    return out
+
+
 def groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, component) of the documents that aren't alone; the component is its least doc_id."""
-    spark = docs.sparkSession
-    sigs = saved(signed(docs), "minhash-signatures")
-    alike = Window.partitionBy("k1", "k2")
-    same = sigs.select("doc_id", F.xxhash64("sig").alias("k1"), F.xxhash64(F.lit(7), "sig").alias("k2")).distinct().withColumn("rep", F.min("doc_id").over(alike))
-    same = saved(same.where("doc_id <> rep").select("doc_id", "rep"), "minhash-alike")
-    reps = sigs.join(same.select("doc_id"), "doc_id", "left_anti").select("doc_id", F.explode("keys").alias("key"))
-    buckets = reps.groupBy("key").agg(F.sort_array(F.collect_set("doc_id")).alias("members")).where("size(members) > 1").select("members").distinct()
-    members = buckets.select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("doc_id"))
-    beside = members.join(sigs.select("doc_id", "sig"), "doc_id").repartition("bucket").sortWithinPartitions("bucket", "doc_id").select("bucket", "doc_id", "sig")
-    edges = beside.mapInArrow(_verify(threshold), "u long, v long")
-    found = components(edges)
-    of_rep = found.select(F.col("node").alias("rep"), "component")
-    rest = same.join(of_rep, "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
-    heads = same.select(F.col("rep").alias("node")).distinct().join(found, "node", "left_anti").select(F.col("node").alias("doc_id"), F.col("node").alias("component"))
-    return found.select(F.col("node").alias("doc_id"), "component").unionByName(rest).unionByName(heads)
+    return members(docs, threshold).select("doc_id", F.col("keep_id").alias("component")).distinct()
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without all but the least doc_id of each group; of rows with one doc_id and one text one stays."""
-    lost = saved(groups(docs, threshold).where("doc_id <> component").select("doc_id").distinct(), "minhash-dropped")
-    side = F.broadcast(lost) if lost.count() <= BROADCAST_IDS else lost
-    return docs.join(side, docs["doc_id"] == side["doc_id"], "left_anti")
+    """``docs`` without all but the least document of each group; of rows with one doc_id and one text one stays."""
+    every = members(docs, threshold)
+    i, k, row = fresh(docs, "near_id", "near_tk", "near_row")
+    lost = saved(every.where("doc_id <> keep_id or tk <> keep_tk").select(F.col("doc_id").alias(i), F.col("tk").alias(k)).distinct(), "minhash-dropped")
+    again = saved(every.where("doc_id = keep_id and tk = keep_tk").groupBy(F.col("doc_id").alias(i), F.col("tk").alias(k)).count().where("count > 1").drop("count"), "minhash-repeated")
+    forget(every)
+    own = (F.col("doc_id").try_cast("long") == F.col(i)) & (F.xxhash64("text") == F.col(k))
+    side = lambda t: F.broadcast(t) if t.count() <= BROADCAST_IDS else t
+    out = docs.join(side(lost), own, "left_anti")
+    if not again.count():
+        return out
+    repeated = out.join(side(again), own)
+    order = Window.partitionBy(i, k).orderBy(F.xxhash64(*map(quoted, docs.columns)))
+    one = repeated.withColumn(row, F.row_number().over(order)).where(F.col(row) == 1).select(*map(quoted, docs.columns))
+    return out.join(side(again), own, "left_anti").unionByName(one)

@@ -68,3 +68,23 @@ def test_whole_buckets_are_searched():
     want = groups([(i, j) for i in range(60) for j in range(i) if (sig[i] == sig[j]).mean() >= 0.6], ids.tolist())
     got = groups(minhash.ties(ids, sig, 0.6), ids.tolist())
     assert got == want
+
+
+def test_repeated_rows_and_ids(spark):
+    """A row that repeats the least document, one doc_id with two texts, and ids that aren't numbers."""
+    t = " ".join(f"word{i}" for i in range(60))
+    u = " ".join(f"other{i}" for i in range(60))
+    kept = lambda rows: sorted((r["doc_id"], r["text"][:1]) for r in minhash.drop_near_copies(docs(spark, rows)).collect())
+    assert kept([(3, t), (7, t), (7, u)]) == [(3, "w"), (7, "o")]
+    assert kept([(1, t), (1, t), (2, u)]) == [(1, "w"), (2, "o")]
+    assert kept([(1, t), (1, t), (1, t + " more"), (5, u), (5, u), (6, "...")]) in ([(1, "w"), (5, "o"), (6, ".")],)
+    names = spark.createDataFrame([("a", t), ("b", t), ("12", u), ("13", u)], "doc_id string, text string")
+    assert sorted(r["doc_id"] for r in minhash.drop_near_copies(names).collect()) == ["12", "a", "b"]
+
+
+def test_large_buckets_are_cut_in_blocks(spark, monkeypatch):
+    """Near copies that are all unlike in their signatures, more than a block holds."""
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 10)
+    base = [f"word{i}" for i in range(80)]
+    rows = [(i, " ".join([*base[:i], f"own{i}", *base[i + 1 :]])) for i in range(60)] + [(100, "a text that is like no other one")]
+    assert sorted(r["doc_id"] for r in minhash.drop_near_copies(docs(spark, rows)).collect()) == [0, 100]
