@@ -3,14 +3,17 @@
 Vectors are scaled to length 1 and centred; principal directions come from the covariance of all of them. A rotation is
 learned by alternating signs B = sign(V R) with R from the singular vectors of B'V, the sums of which every round takes
 over all vectors, part by part. The signs of V R are codes of up to BITS bits, balanced by the centring. Codes are cut in
-TABLES substrings; each vector enters each table under its substring and under all that differ in one bit, so two that
-differ by up to two bits there meet: any pair within Hamming distance 3 * TABLES - 1 is met, and more by chance. Vectors
-that meet are compared by their original coordinates, and those of cosine THRESHOLD or more are tied. Within a bucket a
+TABLES substrings; each code enters each table under its substring and under all that differ in one bit, so two that
+differ by up to two bits there meet: any pair within Hamming distance 3 * TABLES - 1 is met, and more by chance. A bucket of
+codes falls apart in those that a chain of distances up to NEAR bits joins: at a cosine of THRESHOLD a pair of 63 bits differs
+in 6.4 on average, and in more than NEAR once in a thousand times. The vectors of codes that are left together, and those of one
+code, are compared by their original coordinates, and those of cosine THRESHOLD or more are tied. Within a bucket a
 breadth-first search compares every member with those not yet reached: no cap, and about one comparison each in a dense
-group. Components of the ties are the groups; the least vec_id of a group stays.
+group; of a bucket of more than BLOCK_ROWS each two blocks are searched by a task of their own. Equal vectors are tied first
+and one stands for them. Components of the ties are the groups; the least vec_id of a group stays.
 
 Defined results: null vectors, those with a null or non-finite coordinate, of zero length, or of another dimension than
-most (the greater of two as frequent), are alone. Null ids are alone. Rows that repeat a vec_id are one vertex: if their
+most (the greater of two as frequent), are alone. Null ids, and ids that aren't whole numbers, are alone. Rows that repeat a vec_id are one vertex: if their
 vectors agree they count once, else each can tie it. Extra columns don't matter. An empty table gives an empty result.
 """
 
@@ -23,10 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import saved, ship
+from lakeloom.llm.buckets import buckets, in_blocks, whole_groups
+from lakeloom.llm.common import forget, saved, ship
 from lakeloom.llm.components import components
 
-BITS, TABLES, ROUNDS, THRESHOLD, SEED = 63, 3, 12, 0.95, 3
+BITS, TABLES, ROUNDS, THRESHOLD, SEED, NEAR = 63, 3, 12, 0.95, 3, 15
+#: Vectors of a bucket that one task compares.
+BLOCK_ROWS = 50_000
 
 
 def _matrix(batch: pa.RecordBatch, dim: int, column: int = 1) -> np.ndarray:
@@ -50,7 +56,7 @@ def _summed(vectors: DataFrame, dim: int, size: int, per_batch) -> np.ndarray:
 
 def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
     """(vec_id, embedding) of the vectors that can be compared, and their dimension."""
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    rows = vectors.select(F.col("vec_id").try_cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     fine = F.expr("forall(embedding, x -> x is not null and not isnan(x) and abs(x) < 1e150) and exists(embedding, x -> abs(x) > 1e-150)")
     rows = rows.where("vec_id is not null and embedding is not null").where(fine)
     most = rows.groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).first()
@@ -85,19 +91,46 @@ def codes(x: np.ndarray, mean: np.ndarray, projection: np.ndarray) -> np.ndarray
     return (x - mean) @ projection >= 0
 
 
-def table_keys(bits: np.ndarray, tables: int = TABLES) -> np.ndarray:
-    """For each vector its keys: in every table its substring and those with one bit turned."""
+def packed_codes(bits: np.ndarray) -> np.ndarray:
+    return bits @ (np.int64(1) << np.arange(bits.shape[1], dtype=np.int64))
+
+
+def table_keys(codes: np.ndarray, bits: int, tables: int = TABLES) -> np.ndarray:
+    """For each code its keys: in every table its substring and those with one bit turned."""
     out = []
-    for k, part in enumerate(np.array_split(np.arange(bits.shape[1]), tables)):
+    for k, part in enumerate(np.array_split(np.arange(bits), tables)):
         if not len(part):
             continue
-        powers = np.int64(1) << np.arange(len(part), dtype=np.int64)
-        own = bits[:, part] @ powers
-        every = np.concatenate([own[:, None], own[:, None] ^ powers], 1)
-        out.append(every * tables + k)
+        own = codes >> np.int64(part[0]) & np.int64((1 << len(part)) - 1)
+        every = np.concatenate([own[:, None], own[:, None] ^ np.int64(1) << np.arange(len(part), dtype=np.int64)], 1).astype(np.uint64)
+        x = (every * np.uint64(tables) + np.uint64(k + 1)) * np.uint64(0x9E3779B97F4A7C15)
+        out.append((x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93))
     return np.concatenate(out, 1)
 
 
+def hamming_parts(near: int):
+    """Numbers the parts of each bucket of codes that chains of distances up to ``near`` join."""
+
+    def refine(starts: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        part = np.arange(len(codes))
+        n = np.diff(np.append(starts, len(codes)))
+        two = starts[n == 2]
+        close = np.bitwise_count(codes[two] ^ codes[two + 1]) <= near
+        part[two[close] + 1] = two[close]
+        for a, k in zip(starts[n > 2].tolist(), n[n > 2].tolist(), strict=True):
+            rest = np.arange(a, a + k)
+            while len(rest):
+                first, frontier, rest = rest[0], [rest[0]], rest[1:]
+                while frontier and len(rest):
+                    hit = np.bitwise_count(codes[rest] ^ codes[frontier.pop()]) <= near
+                    part[rest[hit]] = first
+                    frontier += rest[hit].tolist()
+                    rest = rest[~hit]
+        return part
+
+    return refine
+
+
 def ties(ids: np.ndarray, x: np.ndarray, threshold: float) -> list[tuple[int, int]]:
     """Edges that join the members of a bucket wherever their cosine reaches the threshold."""
     rest, out = np.arange(len(ids)), []
@@ -118,26 +151,37 @@ def near_groups(vectors: DataFrame, threshold: float = THRESHOLD, bits: int = BI
     ship(spark)
     rows, dim = usable(vectors)
     rows = saved(rows, "itq-vectors")
+    bits = min(bits, dim)
     shared = spark.sparkContext.broadcast(learn(rows, dim, bits, rounds))
 
-    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mean, projection = shared.value
         for b in batches:
             if b.num_rows:
-                k = table_keys(codes(_matrix(b, dim), mean, projection), tables)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(np.arange(len(k) + 1) * k.shape[1], pa.int32()), pa.array(k.ravel()))], ["vec_id", "keys"])
-
-    entries = rows.mapInArrow(enter, "vec_id long, keys array<long>").select("vec_id", F.explode("keys").alias("key"))
-    buckets = entries.groupBy("key").agg(F.sort_array(F.collect_set("vec_id")).alias("members")).where("size(members) > 1").select("members").distinct()
-    beside = buckets.select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("vec_id")).join(rows, "vec_id").select("bucket", "vec_id", "embedding")
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(packed_codes(codes(_matrix(b, dim), mean, projection)), pa.int64())], ["vec_id", "embedding", "code"])
+
+    # equal vectors: the least stands for all, whatever their number
+    alike = (F.xxhash64("embedding").alias("k1"), F.xxhash64(F.lit(7), "embedding").alias("k2"))
+    reps = rows.select("vec_id", *alike).groupBy("k1", "k2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    same = saved(rows.select("vec_id", *alike).join(reps, ["k1", "k2"]).where("vec_id <> rep").select("vec_id", "rep", "k1", "k2"), "itq-alike")
+    one = rows.select("vec_id", "embedding", *alike).join(same.select("vec_id", "k1", "k2"), ["vec_id", "k1", "k2"], "left_anti").select("vec_id", "embedding")
+    coded = saved(one.mapInArrow(code, "vec_id long, embedding array<double>, code long"), "itq-codes")
+    distinct = coded.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+
+    def keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        c = batch.column(0).to_numpy()
+        return c, table_keys(c, bits, tables)
+
+    met = buckets(distinct.select("code"), keys, bits + tables, refine=hamming_parts(NEAR)).distinct()
+    several = distinct.where("n > 1").select(F.xxhash64(F.lit("code"), "code").alias("bucket"), F.col("code").alias("id"))
+    pairs = met.unionByName(several).join(coded.select("code", "vec_id"), F.col("id") == F.col("code")).select("bucket", F.col("vec_id").alias("id"))
+    pairs = saved(pairs, "itq-buckets")
+    beside = in_blocks(pairs, BLOCK_ROWS).withColumnRenamed("id", "vec_id").join(coded.select("vec_id", "embedding"), "vec_id").select("bucket", "vec_id", "embedding")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def done(part: pa.Table) -> Iterator[pa.RecordBatch]:
-            part = part.combine_chunks()
+        for part in whole_groups(batches):
             if not part.num_rows:
-                return
+                continue
             b, ids = part["bucket"].to_numpy(), part["vec_id"].to_numpy()
             x = np.concatenate([_matrix(p, dim, 2) for p in part.to_batches()])
             ends = np.append(np.flatnonzero(b[1:] != b[:-1]) + 1, len(b))
@@ -148,24 +192,15 @@ def near_groups(vectors: DataFrame, threshold: float = THRESHOLD, bits: int = BI
             if found:
                 yield pa.RecordBatch.from_arrays(list(map(pa.array, np.array(found, np.int64).T)), ["u", "v"])
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            b = batch.column(0).to_numpy()
-            cut = int(np.searchsorted(b, b[-1]))
-            if cut or (held and held[-1].column(0)[-1].as_py() != b[0]):
-                yield from done(pa.Table.from_batches([*held, batch.slice(0, cut)]))
-                held = []
-            held.append(batch.slice(cut))
-        if held:
-            yield from done(pa.Table.from_batches(held))
-
     edges = beside.repartition("bucket").sortWithinPartitions("bucket", "vec_id").mapInArrow(verify, "u long, v long")
-    return components(edges).select(F.col("node").alias("vec_id"), "component")
+    tied = edges.unionByName(same.select(F.col("vec_id").alias("u"), F.col("rep").alias("v")))
+    out = components(tied).select(F.col("node").alias("vec_id"), "component")
+    forget(rows, same, coded, pairs)
+    return out
 
 
 def near_dedup(vectors: DataFrame, threshold: float = THRESHOLD, **how: int) -> DataFrame:
     """(vec_id, keeper) of every vector; it stays if it is its own keeper. Null ids have a null keeper and stay."""
     groups = near_groups(vectors, threshold, **how).withColumnRenamed("vec_id", "node")
-    met = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).join(groups, F.col("vec_id") == F.col("node"), "left")
+    met = vectors.select(F.col("vec_id").try_cast("long").alias("vec_id")).join(groups, F.col("vec_id") == F.col("node"), "left")
     return met.select("vec_id", F.coalesce("component", "vec_id").alias("keeper"), F.coalesce(F.col("vec_id") == F.col("component"), F.lit(True)).alias("kept"))
