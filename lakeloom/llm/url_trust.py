@@ -4,23 +4,29 @@ Trust is a personalised PageRank that starts from trusted seeds and follows link
 follows them backwards, for a site is judged by what it links to. Edges run between hosts: hyperlinks of the pages (each
 page counts once for each host it links to), and affiliation, both ways, of a host and the domain one label above it.
 Both vectors are one table of (host, kind) that a join with the edges and a sum push on; each few rounds it is written
-to the shared folder. Vectors are scaled to sum to 1 at the end, which is the same as sending the weight of hosts without
-links back to the seeds. A host is blocked if its distrust is greater than BALANCE times its trust.
+to the shared folder. A round shrinks what is still to come by DAMPING at least, so ROUNDS rounds leave out no more than
+TOLERANCE of the weight, whatever the graph. Vectors are scaled to sum to 1 at the end, which is the same as sending the
+weight of hosts without links back to the seeds. A host is blocked if its distrust is greater than BALANCE times its trust.
 
 Defined results: a null or unreadable url has a null host, and its page is allowed with null scores. Null html has no
 links. A page_id that comes twice is two pages. Seeds are patterns, matched against hosts; a host that is both is
-blocked only. No seeds of a kind give zeros of it. Extra columns don't matter. An empty table gives an empty result.
+blocked only. No seeds of a kind give zeros of it. Long pages and hosts of any number of labels are taken whole. Extra
+columns don't matter. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import delete, reread, saved, scratch
+from lakeloom.llm.common import delete, forget, reread, saved, scratch
 
 TRUSTED, BLOCKED = (r"\.org$",), (r"^blog\.",)
-DAMPING, ROUNDS, EACH, BALANCE, AFFILIATION = 0.85, 20, 4, 1.0, 1.0
+DAMPING, EACH, BALANCE, AFFILIATION = 0.85, 8, 1.0, 1.0
+TOLERANCE = 1e-6
+ROUNDS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
 BROADCAST_HOSTS = 100_000
 HOST = r"^\s*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#@\s]*@)?([^/?#:\s]+)"
 LINK = r"""<a\s[^>]*?href\s*=\s*["']?\s*((?:[A-Za-z][A-Za-z0-9+.\-]*:)?//[^"'\s>]+)"""
@@ -36,7 +42,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     links = linked.where("src is not null").select("src", F.explode("to").alias("dst")).where("dst is not null and dst <> src").groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
     hosts = linked.select(F.explode(F.concat(F.array("src"), F.coalesce("to", F.array().cast("array<string>")))).alias("src")).where("src is not null").distinct()
     # up to the domain of two labels: www.a.example.org, a.example.org, example.org
-    chain = F.expr("transform(sequence(0, greatest(size(split(src, '[.]')) - 2, 0)), i -> array_join(slice(split(src, '[.]'), i + 1, 99), '.'))")
+    chain = F.expr("transform(sequence(0, greatest(size(split(src, '[.]')) - 2, 0)), i -> array_join(slice(split(src, '[.]'), i + 1, size(split(src, '[.]'))), '.'))")
     up = hosts.select(F.posexplode(chain).alias("i", "low"), chain.alias("chain")).withColumn("high", F.expr("get(chain, i + 1)")).where("high is not null and not low rlike '^[0-9.]+$'").select("low", "high").distinct()
     kin = up.select(F.col("low").alias("src"), F.col("high").alias("dst")).unionByName(up.select(F.col("high").alias("src"), F.col("low").alias("dst"))).withColumn("weight", F.lit(AFFILIATION))
     return links.unionByName(kin).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
@@ -53,8 +59,8 @@ def propagate(edges: DataFrame, hosts: DataFrame, trusted: tuple[str, ...] = TRU
     out, into = edges.groupBy("src").agg(F.sum("weight").alias("w")), edges.groupBy("dst").agg(F.sum("weight").alias("w"))
     forward = edges.join(out, "src").select(F.col("src").alias("host"), F.lit("trust").alias("kind"), F.col("dst").alias("to"), (F.col("weight") / F.col("w")).alias("share"))
     back = edges.join(into, "dst").select(F.col("dst").alias("host"), F.lit("distrust").alias("kind"), F.col("src").alias("to"), (F.col("weight") / F.col("w")).alias("share"))
-    flows = saved(forward.unionByName(back), "trust-flows")
-    flows = flows.repartition("host").persist()  # lost parts are read again from the table
+    made = saved(forward.unionByName(back), "trust-flows")
+    flows = made.repartition("host").persist()  # lost parts are read again from the table
     every = hosts.select("host").unionByName(edges.select(F.col("src").alias("host"))).unionByName(edges.select(F.col("dst").alias("host"))).where("host is not null").distinct()
     bad = matches(F.col("host"), blocked)
     kind = F.when(bad, "distrust").when(matches(F.col("host"), trusted), "trust")
@@ -75,12 +81,16 @@ def propagate(edges: DataFrame, hosts: DataFrame, trusted: tuple[str, ...] = TRU
     total = rank.groupBy("kind").agg(F.sum("rank").alias("total"))
     scaled = rank.join(F.broadcast(total), "kind").withColumn("rank", F.col("rank") / F.col("total"))
     wide = scaled.groupBy("host").agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("rank"))), F.lit(0.0)).alias(k) for k in ("trust", "distrust")])
-    return every.join(wide, "host", "left").fillna(0.0, ["trust", "distrust"])
+    out = saved(every.join(wide, "host", "left").fillna(0.0, ["trust", "distrust"]), "trust-hosts")
+    forget(edges, made, seeds)
+    if path:
+        delete(spark, path)
+    return out
 
 
 def url_filter(pages: DataFrame, trusted: tuple[str, ...] = TRUSTED, blocked: tuple[str, ...] = BLOCKED, rounds: int = ROUNDS) -> DataFrame:
     """(page_id, url, host, trust, distrust, allowed) of every page."""
     placed = pages.select("page_id", "url", host_of(F.col("url")).alias("host"))
-    hosts = saved(propagate(host_edges(pages.select("url", "html")), placed.select("host").distinct(), trusted, blocked, rounds), "trust-hosts")
+    hosts = propagate(host_edges(pages.select("url", "html")), placed.select("host").distinct(), trusted, blocked, rounds)
     side = F.broadcast(hosts) if hosts.count() <= BROADCAST_HOSTS else hosts
     return placed.join(side, "host", "left").select("page_id", "url", "host", "trust", "distrust", F.coalesce(F.col("distrust") <= BALANCE * F.col("trust"), F.lit(True)).alias("allowed"))

@@ -84,3 +84,25 @@ def test_defined_results(spark):
             assert abs(r["trust"] - want[r["host"]][0]) < 1e-12 and abs(r["distrust"] - want[r["host"]][1]) < 1e-12
     assert all(r["allowed"] for r in U.url_filter(df, (), ()).collect())
     assert U.url_filter(df.limit(0)).count() == 0
+
+
+def test_rounds_reach_the_fixed_point(spark):
+    """Against the solution of the linear equations: no more than TOLERANCE of the weight is missing; a long chain has its end reached."""
+    import numpy as np
+
+    n = 60
+    rows = [(i, f"https://h{i}.example{i}.test/", f'<a href="https://h{i + 1}.example{i + 1}.test/">x</a>') for i in range(n)] + [(n, "https://start.org/", '<a href="https://h0.example0.test/">x</a>')]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    edges = {(r["src"], r["dst"]): r["weight"] for r in U.host_edges(df.select("url", "html")).collect()}
+    hosts = sorted({h for e in edges for h in e})
+    at = {h: i for i, h in enumerate(hosts)}
+    m = np.zeros((len(hosts), len(hosts)))
+    for (a, b), w in edges.items():
+        m[at[b], at[a]] = w
+    m /= np.maximum(m.sum(0), 1e-300)
+    base = np.zeros(len(hosts))
+    base[at["start.org"]] = 1 - U.DAMPING
+    want = np.linalg.solve(np.eye(len(hosts)) - U.DAMPING * m, base)
+    want /= want.sum()
+    got = {r["host"]: r["trust"] for r in U.url_filter(df, (r"\.org$",), (r"^spam",)).collect()}
+    assert sum(abs(got[h] - want[at[h]]) for h in got) < 3 * U.TOLERANCE and got["h30.example30.test"] > 0
