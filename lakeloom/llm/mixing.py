@@ -4,17 +4,16 @@ Each source is put in a keyed random order and cut into blocks of ``block_docs``
 Quotas: the largest number of blocks N for which every source s has its exact share w_s N (by largest remainders)
 without repeating any block. Without given weights, targets are ``targets``: scarce sources are taken whole and don't
 bound the others, which are drawn to weights that hold large sources back. The tree halves the range of output shards; at each node the left half's blocks of every
-source are drawn by the multivariate hypergeometric law, so every way to deal the blocks to the shards is equally
-likely, and quotas stay exact at every level. A shard then draws its own disjoint run of its sources' permuted blocks
-and shuffles their documents locally.
+source are drawn by the multivariate hypergeometric law, and quotas stay exact at every level. A shard then draws its own
+disjoint run of its sources' permuted blocks (a keyed Feistel network permutes them) and shuffles their documents locally.
 
 Everything that looks at all documents carries (doc_id, source) and hashes only; the driver holds counts by source and
 the top of the tree, whose lower levels the executors split.
 
-Defined results: a null source is a source of its own, named '' in weights. A document is a doc_id with its source; rows
-that repeat one are drawn together and stay in one shard, and rows of a null doc_id, which can't be told apart, are left
-out. Sources without a weight get none. Null or empty texts are documents like others. Extra columns are carried along.
-An empty table gives an empty one.
+Defined results: a null source is a source of its own, named '' in weights. A document is a doc_id with its source, or
+where doc_id is null the text with its source; rows that repeat one are drawn together and stay in one shard. Sources without
+a weight get none. Null, empty or very long texts are documents like others, and the texts of documents with an id aren't
+looked at. Extra columns are carried along. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -24,11 +23,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeloom.llm.common import fresh, quoted, saved, ship
+from lakeloom.llm.common import forget, fresh, quoted, saved, ship
 
 BLOCK_DOCS, SHARD_DOCS, BUCKET_DOCS = 16, 4096, 20_000
 #: Weights, where none are given, are proportional to this power of a source's documents: large sources are held back.
@@ -70,6 +69,22 @@ def targets(sizes: dict[str, int], block_docs: int) -> dict[str, int]:
     return {s: b for s, b in blocks.items() if s not in rest} | quotas({s: blocks[s] for s in rest}, {s: k**FLATTEN for s, k in rest.items()})
 
 
+def permuted(ranks: np.ndarray, n: int, key: int) -> np.ndarray:
+    """A keyed permutation of 0 to n - 1: a Feistel network of six rounds, walked on where it leads out of the range."""
+    half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
+    mask, out = np.uint64((1 << half) - 1), ranks.astype(np.uint64)
+    at = np.arange(len(out))
+    while len(at):
+        low, high = out[at] & mask, out[at] >> np.uint64(half)
+        for r in range(6):
+            x = (low + np.uint64((key * 0x9E3779B97F4A7C15 + r * 0xD6E8FEB86659FD93) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+            x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+            low, high = high ^ ((x ^ (x >> np.uint64(29))) & mask), low
+        out[at] = low | high << np.uint64(half)
+        at = at[out[at] >= n]
+    return out.astype(np.int64)
+
+
 Node = tuple[int, int, list[int], list[int]]  # shards from a up to z, their blocks by source, and the blocks before them
 
 
@@ -106,8 +121,8 @@ def split(quota: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def ranges(spark: SparkSession, names: list[str], quota: list[int], shards: int, seed: int) -> DataFrame:
-    """(source, shard, low, high): the run of drawn ranks that each shard has of each source.
+def dealt_blocks(spark: SparkSession, names: list[str], blocks: list[int], quota: list[int], shards: int, seed: int) -> DataFrame:
+    """(source, block, shard): the blocks that each shard has of each source, a run of them in their permuted order.
 
     The top of the tree is split here until there are TOP_NODES nodes; the executors go on from there.
     """
@@ -120,19 +135,21 @@ def ranges(spark: SparkSession, names: list[str], quota: list[int], shards: int,
     def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for node in b.itertuples(index=False):
-                rows = [(s, a, x, x + h) for a, _, have, low in leaves((node.a, node.z, list(node.have), list(node.low)), ends, seed) for s, h, x in zip(names, have, low, strict=True) if h]
-                yield pd.DataFrame(rows, columns=["source", "shard", "low", "high"])
+                for a, _, have, low in leaves((node.a, node.z, list(node.have), list(node.low)), ends, seed):
+                    for s, (h, x) in enumerate(zip(have, low, strict=True)):
+                        if h:
+                            yield pd.DataFrame({"source": names[s], "block": permuted(np.arange(x, x + h), blocks[s], seed * 1_000_003 + s), "shard": a})
 
     nodes = spark.createDataFrame(todo, "a long, z long, have array<long>, low array<long>")
-    return nodes.repartition(min(len(todo), spark.sparkContext.defaultParallelism), "a").mapInPandas(grow, "source string, shard long, low long, high long")
+    return nodes.repartition(min(len(todo), spark.sparkContext.defaultParallelism), "a").mapInPandas(grow, "source string, block long, shard long")
 
 
 def assignment(docs: DataFrame, weights: dict[str, float] | None = None, block_docs: int = BLOCK_DOCS, shard_docs: int = SHARD_DOCS, seed: int = SEED) -> DataFrame:
-    """(doc_id, source, block, shard, position) of every document drawn."""
+    """(doc_id, source, own, block, shard, position) of every document drawn; ``own`` tells those without doc_id apart."""
     spark = docs.sparkSession
     ship(spark)
-    base = docs.select(F.col("doc_id").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source")).where("doc_id is not null").distinct()
-    base = saved(base.withColumn("h", F.xxhash64(F.lit(seed), "source", "doc_id")), "mix-keys")
+    base = docs.select(F.col("doc_id").alias("doc_id"), *identity(docs)).distinct()
+    base = saved(base.withColumn("h", F.xxhash64(F.lit(seed), "source", "doc_id", "own")), "mix-keys")
     n = base.count()
     bits = max(1, min(16, math.ceil(math.log2(max(2, n / BUCKET_DOCS)))))
     keyed = base.withColumn("bucket", F.shiftrightunsigned("h", 64 - bits).cast("int"))
@@ -145,44 +162,38 @@ def assignment(docs: DataFrame, weights: dict[str, float] | None = None, block_d
     names = sorted(quota)
     total = sum(quota.values())
     shards = max(1, -(-total * block_docs // shard_docs))
-    rng = np.random.default_rng(seed)
-    steps = []
-    for s in names:
-        b = blocks[s]
-        a = int(rng.integers(1, b + 1))
-        while math.gcd(a, b) > 1:
-            a += 1
-        steps.append((s, b, a % b, int(rng.integers(0, b))))
     side = lambda df, rows: F.broadcast(df) if rows <= BROADCAST_ROWS else df
-    per_source = side(spark.createDataFrame(steps, "source string, b long, a long, c long"), len(steps))
-    order = Window.partitionBy("source", "bucket").orderBy("h", "doc_id")
+    order = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "own")
     placed = keyed.join(side(before, len(names) << bits), ["source", "bucket"]).withColumn("block", F.floor((F.col("before") + F.row_number().over(order) - 1) / block_docs).cast("long"))
-    # a bijection of the source's blocks: the rank at which a block is drawn
-    ranked = placed.join(per_source, "source").withColumn("rank", (F.col("block") * F.col("a") + F.col("c")) % F.col("b")).drop("a", "b", "c")
-    # a run of ranks for each shard and source, a row a block; documents meet their block by an equi-join
-    runs = ranges(spark, names, [quota[s] for s in names], shards, seed)
-    drawn_blocks = runs.select("source", "shard", F.explode(F.sequence("low", F.col("high") - 1)).alias("rank"))
-    dealt = ranked.join(side(drawn_blocks, total), ["source", "rank"])
-    local = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed + 1), "h"), "doc_id", "source")
-    return dealt.withColumn("position", F.row_number().over(local)).select("doc_id", "source", "block", "shard", "position")
+    # a row a block; documents meet their block by an equi-join
+    runs = dealt_blocks(spark, names, [blocks[s] for s in names], [quota[s] for s in names], shards, seed)
+    dealt = placed.join(side(runs, total), ["source", "block"])
+    local = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed + 1), "h"), "doc_id", "source", "own")
+    out = saved(dealt.withColumn("position", F.row_number().over(local)).select("doc_id", "source", "own", "block", "shard", "position"), "mix-assignment")
+    forget(base)
+    return out
+
+
+def identity(docs: DataFrame) -> tuple[Column, Column]:
+    """What tells the rows of ``docs`` apart besides doc_id: source, and a hash of the text where there is no doc_id."""
+    return F.coalesce(docs["source"].cast("string"), F.lit("")).alias("source"), F.when(docs["doc_id"].isNull(), F.xxhash64(docs["text"])).alias("own")
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, **how: int) -> DataFrame:
     """The drawn rows of ``docs`` with block, shard and position in the shard (named with more _ in front where taken)."""
-    a = saved(assignment(docs, weights, **how), "mix-assignment")
-    i, s, block, shard, position = fresh(docs, "mix_id", "mix_source", "block", "shard", "position")
-    side = a.select(F.col("doc_id").alias(i), F.col("source").alias(s), F.col("block").alias(block), F.col("shard").alias(shard), F.col("position").alias(position))
+    a = assignment(docs, weights, **how)
+    i, s, o, block, shard, position = fresh(docs, "mix_id", "mix_source", "mix_own", "block", "shard", "position")
     # most documents are drawn, so the assignment grows as they do: a join by doc_id, never a broadcast
-    met = (F.col("doc_id") == F.col(i)) & (F.coalesce(F.col("source").cast("string"), F.lit("")) == F.col(s))
-    return docs.join(side.hint("merge"), met).drop(quoted(i), quoted(s))
+    side = a.toDF(i, s, o, block, shard, position).hint("merge")
+    source, own = identity(docs)
+    return docs.join(side, docs["doc_id"].eqNullSafe(F.col(i)) & (source == F.col(s)) & own.eqNullSafe(F.col(o))).drop(quoted(i), quoted(s), quoted(o))
 
 
 def drawn(docs: DataFrame, weights: dict[str, float] | None = None, **how: int) -> DataFrame:
-    """The rows of ``docs`` that the mix draws, with the columns they came with."""
-    a = saved(assignment(docs, weights, **how).select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source")), "mix-assignment")
-    i, s = fresh(docs, "mix_id", "mix_source")
-    side = a.toDF(i, s).hint("merge")  # grows with the documents, as in mix
-    return docs.join(side, (F.col("doc_id") == F.col(i)) & (F.coalesce(F.col("source").cast("string"), F.lit("")) == F.col(s)), "left_semi")
+    """The rows of ``docs`` that the mix draws, with the columns they came with: shards whole, in their order and shuffled."""
+    mixed = mix(docs, weights, **how)
+    shard, position = mixed.columns[-2:]
+    return mixed.repartition(quoted(shard)).sortWithinPartitions(quoted(shard), quoted(position)).select(*map(quoted, docs.columns))
 
 
 def write_shards(mixed: DataFrame, path: str) -> None:

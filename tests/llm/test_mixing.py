@@ -68,13 +68,46 @@ def test_tiny_sources_do_not_bound_the_mix(spark):
 
 
 def test_defined_results(spark):
-    rows = [(1, None, None), (2, "", None), (3, "x", "s"), (3, "x", "s"), (None, "y", "s"), (4, "w " * 50_000, "s")]
+    rows = [(1, None, None), (2, "", None), (3, "x", "s"), (3, "x", "s"), (None, "y", "s"), (4, "w " * 50_000, "s"), (5, "q", None)]
     df = docs(spark, rows).selectExpr("*", "1 AS block", "2 AS shard", "3 AS mix_id", "4 AS h")
     out = mixing.mix(df)
     assert len(out.columns) == len({c.lower() for c in out.columns}) == len(df.columns) + 3
-    assert sorted(r["doc_id"] for r in out.collect()) == [1, 2, 3, 3, 4]
-    assert sorted(r["doc_id"] for r in mixing.drawn(df).collect()) == [1, 2, 3, 3, 4]
+    assert sorted(r["doc_id"] or 0 for r in out.collect()) == [0, 1, 2, 3, 3, 4, 5]
+    assert sorted(r["doc_id"] or 0 for r in mixing.drawn(df).collect()) == [0, 1, 2, 3, 3, 4, 5]
     assert mixing.drawn(df).columns == df.columns
     assert mixing.mix(df.limit(0)).count() == 0
     assert mixing.mix(df, {"nowhere": 1.0}).count() == 0
-    assert sorted(r["doc_id"] for r in mixing.mix(df, {"": 1.0}).collect()) == [1, 2]
+    assert sorted(r["doc_id"] for r in mixing.mix(df, {"": 1.0}).collect()) == [1, 2, 5]
+
+
+def test_blocks_are_permuted():
+    for n in (1, 2, 3, 7, 64, 1000, 4097):
+        assert sorted(mixing.permuted(np.arange(n), n, 5).tolist()) == list(range(n))
+    seen = Counter(tuple(mixing.permuted(np.arange(4), 4, k).tolist()) for k in range(2400))
+    assert len(seen) == 24 and min(seen.values()) > 40  # all orders come, none rarely
+
+
+def test_shards_hold_what_the_tree_deals(spark):
+    """Quotas by plain arithmetic, and the blocks of every shard and source against the leaves of the tree."""
+    rows = [(i, f"t{i}", "abc"[min(i % 6, 2)]) for i in range(3000)]
+    weights = {"a": 0.2, "b": 0.3, "c": 0.5}
+    got = mixing.mix(docs(spark, rows), weights, block_docs=10, shard_docs=100).collect()
+    have = {"a": 50, "b": 50, "c": 200}
+    total = max(t for t in range(301) if all(t * w <= have[s] + 1e-9 for s, w in weights.items()))
+    blocks = Counter((r["shard"], r["source"]) for r in {(r["shard"], r["source"], r["block"]): r for r in got}.values())
+    by_source = Counter()
+    for (_, s), n in blocks.items():
+        by_source[s] += n
+    assert all(abs(by_source[s] - total * w) < 1 for s, w in weights.items()) and sum(by_source.values()) == total
+    leaves = mixing.split(np.array([by_source[s] for s in "abc"]), len({k for k, _ in blocks}), mixing.SEED)
+    assert all(blocks.get((k, s), 0) == leaves[k][j] for k in range(len(leaves)) for j, s in enumerate("abc"))
+
+
+def test_drawn_rows_lie_in_shards(spark):
+    df = docs(spark, [(i, f"t{i}", "s") for i in range(600)])
+    mixed = {r["doc_id"]: (r["shard"], r["position"]) for r in mixing.mix(df, {"s": 1.0}, shard_docs=100).collect()}
+    parts = mixing.drawn(df, {"s": 1.0}, shard_docs=100).rdd.glom().collect()
+    assert sorted(r["doc_id"] for p in parts for r in p) == sorted(mixed)
+    for p in parts:
+        assert [mixed[r["doc_id"]] for r in p] == sorted(mixed[r["doc_id"]] for r in p)
+    assert all(len({k for k, p in enumerate(parts) for r in p if mixed[r["doc_id"]][0] == s}) == 1 for s in {s for s, _ in mixed.values()})
