@@ -3,7 +3,9 @@
 The stream carries (digest, doc_id, locator) of each row, never the text: its state holds, for every digest ever seen
 and without expiry, the stable identifier and the content locator (file and row) of the document that was first. The
 state lives in RocksDB, so it is bounded by disk, and is keyed by a slice of the digest with one map entry a digest, so a
-hot document is one entry however many copies come. A row whose digest is there is a hit: its bytes and the first one's
+hot document is one entry however many copies come. A task that reads copies sends on the first of them only as a candidate
+for the state; the others can't be first and are dealt evenly, so no slice has a hot document's rows. A row whose digest is
+there is a hit: its bytes and the first one's
 are read by their locators and compared in full, by folding the least and the greatest text of a digest. Should they
 differ, the texts of that digest are grouped by their bytes themselves, which is exact.
 
@@ -12,14 +14,17 @@ the earlier one. Files that come later are a later epoch of the same stream, if
 
 Defined results: a null text equals nothing, so its row stays; empty texts equal one another. Of repeated rows (one
 doc_id, one text) one stays, of one doc_id with different texts each text. Null ids come last among copies. Extra columns
-are carried along, whatever their names. An empty table gives an empty one.
+are carried along, whatever their names. A doc_id that isn't a whole number counts as null. Texts are taken whole, very
+long ones too. An empty table gives an empty one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,14 +46,44 @@ def digest(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
+def order_of(doc_id: int | None, file: str, row: int) -> tuple:
+    return doc_id is None, doc_id or 0, file, row
+
+
+def first_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (digest, doc_id, file, row) again, with ``copy``: whether this task has had one of the same digest that is before it."""
+    best: dict[bytes, tuple] = {}
+    made = lambda rows, copy: pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.binary(), pa.int64(), pa.string(), pa.int64()))] + [pa.array([copy] * len(rows), pa.bool_())], ["digest", "doc_id", "file", "row", "copy"])
+    for b in batches:
+        copies = []
+        for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            other = best.setdefault(r[0], r)
+            if other is not r:
+                if order_of(*r[1:]) < order_of(*other[1:]):
+                    best[r[0]], r = r, other
+                copies.append(r)
+        if copies:
+            yield made(copies, True)
+    first = list(best.values())
+    for a in range(0, len(first), 10_000):
+        yield made(first[a : a + 10_000], False)
+
+
 class FirstSeen(StatefulProcessor):
-    """Emits each row with what the state holds as the first of its digest; the first itself has its own locator."""
+    """Emits each row with what the state holds as the first of its digest; the first itself has its own locator. Copies that
+    were found before they came here have none."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.first = handle.getMapState("first", T.StructType([T.StructField("digest", T.BinaryType())]), SEEN)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        got = sorted(rows, key=lambda r: (bytes(r.digest), r.doc_id is None, r.doc_id or 0, r.file, r.row))
+        got = []
+        for r in rows:
+            if r.copy:
+                yield Row(slice=key[0], digest=r.digest, doc_id=r.doc_id, file=r.file, row=r.row, first_id=None, first_file=None, first_row=None)
+            else:
+                got.append(r)
+        got.sort(key=lambda r: (bytes(r.digest), *order_of(r.doc_id, r.file, r.row)))
         last, first = None, None
         for r in got:
             d = bytes(r.digest)
@@ -77,6 +112,11 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def literal(path: str) -> str:
+    """A pattern that stands for this path alone."""
+    return "".join("\\" + c if c in "[]{}*?\\" else c for c in path)
+
+
 def slices_of(spark: SparkSession, path: str, home: str) -> int:
     """The number of slices of the stream at ``home``, which a name in its folder keeps; a new one's goes by its input."""
     hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
@@ -93,14 +133,15 @@ def slices_of(spark: SparkSession, path: str, home: str) -> int:
 
 
 def first_seen(spark: SparkSession, path: str, schema: T.StructType, home: str, digest_of=digest) -> DataFrame:
-    """Runs the stream over the files under ``path`` that it hasn't had and returns its rows of this run."""
+    """Runs the stream over the files under ``path`` that it hasn't had and returns all rows it has decided, of earlier runs too."""
     ship(spark)
     n = slices_of(spark, path, home)
     keyed = (
-        spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")  # a pattern may stand for one file, a path only for a folder
-        .select(digest_of(F.col("text")).alias("digest"), F.col("doc_id").cast("long").alias("doc_id"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+        spark.readStream.schema(schema).parquet(f"{literal(path[:-1])}[{path[-1]}]")  # a pattern may stand for one file, a path only for a folder
+        .select(digest_of(F.col("text")).alias("digest"), F.col("doc_id").try_cast("long").alias("doc_id"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
         .where("digest is not null")
-        .withColumn("slice", F.pmod(F.xxhash64("digest"), F.lit(n)).cast("int"))
+        .mapInArrow(first_of_task, "digest binary, doc_id long, file string, row long, copy boolean")
+        .withColumn("slice", F.pmod(F.when(F.col("copy"), F.xxhash64("file", "row")).otherwise(F.xxhash64("digest")), F.lit(n)).cast("int"))
     )
     decided = keyed.groupBy("slice").transformWithState(FirstSeen(), OUT, "append", "none")
     out = f"{home}/decided"
@@ -108,6 +149,8 @@ def first_seen(spark: SparkSession, path: str, schema: T.StructType, home: str,
         spark,
         spark__sql__streaming__stateStore__providerClass="org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true",
+        spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage="true",
+        spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB="256",
     ):
         run = decided.writeStream.format("parquet").option("checkpointLocation", f"{home}/checkpoint").option("path", out).trigger(availableNow=True).outputMode("append").start()
         run.awaitTermination()
@@ -137,7 +180,14 @@ def drop_copies(docs: DataFrame, path: str | None = None, home: str | None = Non
     placed = spark.read.schema(docs.schema).parquet(path).select("*", F.col("_metadata.file_path").alias(where), F.col("_metadata.row_index").alias(at))
     if n:
         side = F.broadcast(struck) if n <= BROADCAST_DIGESTS else struck
-        read = spark.read.schema(docs.schema).parquet(path).select(digest_of(F.col("text")).alias("digest"), "text").join(side, "digest")
+        whole = spark.read.schema(docs.schema).parquet(path)
+        read = whole.select(digest_of(F.col("text")).alias("digest"), "text")
+        if home is not None:  # first ones of earlier runs may lie elsewhere
+            here = whole.select(F.col("_metadata.file_path").alias("f")).distinct()
+            there = [r["f"] for r in rows.select(F.col("first_file").alias("f")).where("f is not null").distinct().join(here, "f", "left_anti").collect()]  # a row a file
+            if there:
+                read = read.unionByName(spark.read.schema(docs.schema).parquet(*map(unquote, there)).select(digest_of(F.col("text")).alias("digest"), "text"))
+        read = read.join(side, "digest")
         differ = read.groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high")).where("low <> high").select("digest")
         differ = saved(differ, "exact-collisions")
         gone = hits.join(differ, "digest", "left_anti").select("file", "row")
@@ -157,8 +207,6 @@ def drop_copies(docs: DataFrame, path: str | None = None, home: str | None = Non
 
 def folder_of(docs: DataFrame) -> str | None:
     """The one folder whose Parquet files ``docs`` reads whole and unchanged; None if that can't be told from its plan."""
-    from urllib.parse import unquote
-
     node = docs._jdf.queryExecution().analyzed()
     if node.getClass().getSimpleName() != "LogicalRelation" or not docs.inputFiles():
         return None
