@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import ship
+from lakeloom.llm.common import cache, claim, ship
 from lakeloom.llm.spm import REMEMBERED, steps
 
 BITS = 18
@@ -42,13 +42,13 @@ KEEP_GRADE, KEEP_TAIL = 1, 0.5
 MARK_CHANCE, CLEAN_LOST = 0.05, 0.01
 
 _LETTER, _DIGIT, _RUN = re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile(r"([^a0])\1+")
-_words: dict[str, int] = {}
+_words: dict[str, int] = cache("quality", {})
 
 
 def _feature(token: str) -> int:
     """The word's feature in the low bits and the shape's above them."""
     word = token.lower().strip(".,;:!?\"'()[]{}|-_*#$%&")
-    shape = _RUN.sub(r"\1", _DIGIT.sub("0", _LETTER.sub("a", token)))[:16]
+    shape = _RUN.sub(r"\1", _DIGIT.sub("0", _LETTER.sub("a", token)))
     return (xxhash.xxh32_intdigest("w" + word) & (SIZE - 1)) | (xxhash.xxh32_intdigest("s" + shape) & (SIZE - 1)) << BITS
 
 
@@ -198,6 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     some = rated.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(max_labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("quality")
         for part, texts in steps(batches, 1):
             i, v = sparse(texts)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(i, pa.list_(pa.int64())), pa.array(v, pa.list_(pa.float64()))], ["doc_id", "grade", "i", "v"])
@@ -222,6 +223,7 @@ def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("quality")
         m = OrdinalModel(*shared.value)
         for part, texts in steps(batches, 1):
             p, toxic = m.judged(texts)
@@ -241,9 +243,10 @@ def select(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     model = train(docs, labels, max_labelled)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds, model.grades, model.marks, model.toxic))
-    at = docs.columns.index("text")
+    at = [c.lower() for c in docs.columns].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("quality")
         m = OrdinalModel(*shared.value)
         for part, texts in steps(batches, at):
             p, toxic = m.judged(texts)

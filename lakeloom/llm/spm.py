@@ -22,7 +22,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import ship
+from lakeloom.llm.common import cache, claim, ship
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -357,7 +357,7 @@ class Encoder:
         return ids, np.diff(total[ends], prepend=0)
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[str, Encoder] = cache("spm", {})
 
 
 def encoder(path: str) -> Encoder:
@@ -386,6 +386,7 @@ def sentencepiece(docs: DataFrame, model_path: str) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("spm")
         e = encoder(model_path)
         for part, texts in steps(batches, 1):
             ids, n = e.encode(texts)

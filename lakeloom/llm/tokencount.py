@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import ship
+from lakeloom.llm.common import cache, claim, ship
 from lakeloom.llm.spm import ChunkMemo, Grown, UnigramVocabulary, chunked, steps
 
 
@@ -72,7 +72,7 @@ class PieceCounter:
         return np.diff(total[ends], prepend=0)
 
 
-_counters: dict[str, PieceCounter] = {}
+_counters: dict[str, PieceCounter] = cache("tokencount", {})
 
 
 def counter(path: str) -> PieceCounter:
@@ -86,6 +86,7 @@ def token_counts(docs: DataFrame, model_path: str) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("tokencount")
         c = counter(model_path)
         for part, texts in steps(batches, 1):
             null = part.column(1).is_null().to_numpy(zero_copy_only=False)

@@ -71,3 +71,39 @@ def test_selection_is_the_decision(spark):
     d, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     kept = sorted(r["doc_id"] for r in quality.quality(d, labels).where("keep").collect())
     assert kept == sorted(r["doc_id"] for r in quality.select(d, labels).collect())
+
+
+def test_scores_against_plain_python(spark):
+    """Score, tails, expected grade and decision of every document, token by token from the model's own numbers."""
+    import math
+    import re
+
+    import xxhash
+
+    d, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    m = quality.train(d, labels)
+    w = m.weights.astype(np.float32)
+    got = {r["doc_id"]: r for r in quality.score(d, m).collect()}
+    marks = set(m.marks.tolist())
+    for r in d.collect():
+        tokens, total, seen, last = r["text"].split(), 0.0, set(), None
+        for t in tokens:
+            word = t.lower().strip(".,;:!?\"'()[]{}|-_*#$%&")
+            shape = re.sub(r"([^a0])\1+", r"\1", re.sub(r"\d+", "0", re.sub(r"[^\W\d_]+", "a", t)))
+            both = tuple(xxhash.xxh32_intdigest(x) % 2**18 for x in ("w" + word, "s" + shape))
+            total += float(w[both[0]]) + float(w[both[1]]) + (float(w[2**18]) if both == last else 0.0)
+            last = both
+            seen |= set(both)
+        score = total / max(len(tokens), 1)
+        p = [1 / (1 + math.exp(-max(-40.0, min(40.0, score - t)))) for t in m.thresholds]
+        if seen & marks:
+            p[1] *= 1 - m.toxic
+        g = got[r["doc_id"]]
+        assert abs(g["tail_1"] - p[0]) < 1e-4 and abs(g["tail_2"] - p[1]) < 1e-4 and abs(g["expected_grade"] - sum(p)) < 2e-4
+        assert g["toxic"] == bool(seen & marks and p[1] < quality.KEEP_TAIL)
+
+
+def test_other_case_and_long_shapes(spark):
+    df = docs(spark, [(1, "some words"), (2, None)]).withColumnRenamed("text", "Text")
+    assert quality.select(df, spark.createDataFrame([], LABELS)).columns == df.columns
+    assert quality._feature("a/0/a/0/a/0/a/0/a") != quality._feature("a/0/a/0/a/0/a/0/!")
