@@ -1,7 +1,11 @@
 """The corpus pipeline: judged, deduplicated, mixed and encoded documents.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; what it decides takes effect. Between
-stages the documents are written as Parquet to the shared folder and read again.
+stages the documents are written as Parquet to the shared folder and read again; what a stage wrote there besides goes then.
+
+Defined results: rows without doc_id and null or empty texts are judged, deduplicated, mixed and encoded like others (a null
+text equals no other; without doc_id a row is told apart by its text). Texts are taken whole. Rows that repeat a document are
+one. Extra columns are carried along to the last stage. No documents give none.
 """
 
 from __future__ import annotations
@@ -9,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeloom.llm import exact_dedup, minhash, mixing, quality, queries, spm
-from lakeloom.llm.common import documents, saved
+from lakeloom.llm.common import documents, forget, saved, scratched, sweep
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +32,7 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources are drawn to their target weights."""
+    """Sources are drawn to their target weights and dealt to shards, in which they lie shuffled."""
     return mixing.drawn(docs)
 
 
@@ -52,5 +56,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
+        before, old = set(scratched), docs
         docs = saved(stage(spark, docs, sf_dir), "pipeline-" + name.split()[0].lower())
+        sweep(spark, before, docs)
+        forget(old)
     return STAGES[-1][1](spark, docs, sf_dir)
