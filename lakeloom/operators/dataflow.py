@@ -8,22 +8,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lakeloom.operators.shared import scratch
 
-def batches(df: DataFrame, order: str, size: int, buckets: int = 64) -> DataFrame:
-    """A column batch: rows 0..size-1 in ``order`` are batch 0, and so on; the last may be short (DF-01).
 
-    Numbers come from counts of ranges of the order, so no task sees all rows.
+def ranked(df: DataFrame, order: str, name: str = "position") -> DataFrame:
+    """A column with each row's place in ``order``, from 0 on; nulls come first, ties in any order that then holds.
+
+    The rows are cut in ranges of equal size, each sorted and written as a file of the shared folder; a row's place is its
+    place in the file and the rows of the files before. No task sees all rows, whatever the order's distribution.
     """
-    low, high = df.agg(F.min(order), F.max(order)).first()
-    if low is None:
-        return df.withColumn("batch", F.lit(None).cast("long"))
-    width = max(1, (int(high) - int(low)) // buckets + 1)
-    keyed = df.withColumn("_r", F.floor((F.col(order) - F.lit(low)) / F.lit(width)).cast("int"))
-    counts = keyed.groupBy("_r").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.select("_r", F.coalesce(F.sum("_n").over(Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
-    numbered = keyed.join(F.broadcast(before), "_r")  # one row a range
-    at = F.col("_b") + F.row_number().over(Window.partitionBy("_r").orderBy(order)) - 1
-    return numbered.withColumn("batch", F.floor(at / F.lit(size)).cast("long")).drop("_r", "_b")
+    spark = df.sparkSession
+    path = scratch(spark, "ranked")
+    df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), order).sortWithinPartitions(order).write.option("maxRecordsPerFile", 0).parquet(path)
+    rows = spark.read.schema(df.schema).parquet(path).select("*", F.col("_metadata.file_name").alias("_f"), F.col("_metadata.row_index").alias("_i"))
+    counts = rows.groupBy("_f").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_f", F.coalesce(F.sum("_n").over(Window.orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    return rows.join(F.broadcast(before), "_f").withColumn(name, F.col("_b") + F.col("_i")).drop("_f", "_i", "_b")  # a row a file
+
+
+def batches(df: DataFrame, order: str, size: int) -> DataFrame:
+    """A column batch: rows 0..size-1 in ``order`` are batch 0, and so on; the last may be short (DF-01)."""
+    return ranked(df, order, "batch").withColumn("batch", F.floor(F.col("batch") / F.lit(size)).cast("long"))
 
 
 def overlaps(a: DataFrame, b: DataFrame, keys: list[str], start: str = "start_pos", end: str = "end_pos", width: int | None = None, extra: Callable[[], Column] | None = None) -> DataFrame:

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import os
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeloom.operators.shared import delete, scratch
 from lakeloom.operators.tables import BUILDERS, KEYS
 from lakeloom.sources.parquet import list_files, read_lake, read_union
 
@@ -22,21 +26,40 @@ def require(path: str) -> str:
     return path
 
 
+def rebalanced(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of equal keys together; a division that holds most rows is cut, and small ones are put together, by the sizes that
+    the shuffle itself measures. ``df`` runs once."""
+    view = f"lakeloom_rebalance_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    try:
+        return df.sparkSession.sql(f"SELECT /*+ REBALANCE({', '.join(f'`{k}`' for k in keys)}) */ * FROM {view}")
+    finally:
+        df.sparkSession.catalog.dropTempView(view)
+
+
 def write_table(df: DataFrame, path: str, rows_per_file: int = ROW_GROUP_ROWS, mode: str = "error") -> None:
-    """zstd Parquet, partitioned by the keys (SNK-01). Rows of a partition go to as many tasks as its size needs:
-    a salt from the row count keeps a division that holds most rows from being one task's work."""
-    counts = df.groupBy(*KEYS).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).cast("int").alias("_parts"))
-    salted = df.join(F.broadcast(counts), KEYS) if counts.count() else df.withColumn("_parts", F.lit(1))
-    # keys and parts are few: divisions x statuses x files
-    spread = salted.withColumn("_salt", F.pmod(F.xxhash64("acc"), F.col("_parts"))).repartition(*KEYS, "_salt").drop("_parts", "_salt")
-    spread.sortWithinPartitions(*KEYS, "acc").write.mode(mode).partitionBy(*KEYS).option("compression", "zstd").option("parquet.block.row.count.limit", ROW_GROUP_ROWS).option("maxRecordsPerFile", rows_per_file).parquet(path)
+    """zstd Parquet, partitioned by the keys (SNK-01), in files of ``rows_per_file`` rows at most; one shuffle, no counting pass."""
+    rows = rebalanced(df, *KEYS).sortWithinPartitions(*KEYS, "acc")
+    rows.write.mode(mode).partitionBy(*KEYS).option("compression", "zstd").option("parquet.block.row.count.limit", ROW_GROUP_ROWS).option("maxRecordsPerFile", rows_per_file).parquet(path)
+
+
+@contextmanager
+def staged(records: DataFrame) -> Iterator[DataFrame]:
+    """The records as a Parquet table of the shared folder for the length of the block: JSON is parsed once, and each table
+    then reads its own columns."""
+    path = scratch(records.sparkSession, "records")
+    records.write.parquet(path)
+    try:
+        yield records.sparkSession.read.schema(records.schema).parquet(path)
+    finally:
+        delete(records.sparkSession, path)
 
 
 def build_lake(records: DataFrame, root: str, tables: tuple[str, ...] = ("core", "seqs", "features"), mode: str = "error") -> None:
-    """All tables from records (T-01 to T-03, DF-03). The records are read once for each table: column pruning makes
-    three narrow scans cheaper than keeping whole records."""
-    for name in tables:
-        write_table(BUILDERS[name](records), f"{root}/{name}", ROWS_PER_FILE[name], mode)
+    """All tables from records (T-01 to T-03, DF-03); the records are parsed once."""
+    with staged(records) as rows:
+        for name in tables:
+            write_table(BUILDERS[name](rows), f"{root}/{name}", ROWS_PER_FILE[name], mode)
 
 
 def collect_table(spark: SparkSession, table: str, roots: list[str], out: str) -> bool:
@@ -78,7 +101,7 @@ def export(df: DataFrame, path: str, kind: str = "csv", single: bool = False, mo
 
 def export_partitioned_json(df: DataFrame, path: str, *keys: str) -> None:
     """JSON lines in Hive folders with lower-case values (SNK-06, STR-08)."""
-    df.withColumns({k: F.lower(F.col(k).cast("string")) for k in keys}).repartition(*keys).write.partitionBy(*keys).json(path)
+    rebalanced(df.withColumns({k: F.lower(F.col(k).cast("string")) for k in keys}), *keys).write.partitionBy(*keys).json(path)
 
 
 def persist_table(df: DataFrame, name: str) -> DataFrame:

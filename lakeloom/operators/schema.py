@@ -15,8 +15,9 @@ SIMPLE = {
     "INTEGER": T.IntegerType(), "BIGINT": T.LongType(), "HUGEINT": T.DecimalType(38, 0), "FLOAT": T.FloatType(), "DOUBLE": T.DoubleType(),
     "DATE": T.DateType(), "TIMESTAMP": T.TimestampNTZType(), "JSON": T.VariantType(), "BLOB": T.BinaryType(),
 }
-RANK = {name: i for i, name in enumerate("BOOLEAN TINYINT SMALLINT INTEGER BIGINT HUGEINT FLOAT DOUBLE DATE TIMESTAMP".split(), 1)} | {"VARCHAR": 20, "JSON": 21}
-OTHER_RANK = 15
+#: Of two types the one that stands later holds both; nested and unknown types stand where OTHER does.
+OTHER = "..."
+WIDER = ("BOOLEAN", "TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "FLOAT", "DOUBLE", "DATE", "TIMESTAMP", OTHER, "JSON", "VARCHAR")
 _TOKEN = re.compile(r'\s*("(?:[^"]|"")*"|[A-Za-z_]\w*|\d+|\[\]|[(),])')
 
 
@@ -104,13 +105,15 @@ def reader_schema(columns: dict[str, str]) -> T.StructType:
 
 
 def merge_types(types: Iterable[str]) -> str:
-    """One type string for several, by rank, then by length, then the first (S-02, mode 'reference')."""
-    types = list(types)
-    if len(set(types)) == 1:
-        return types[0]
-    if any(t.upper() == "VARCHAR" for t in types):
-        return "VARCHAR"
-    return max(types, key=lambda t: (RANK.get(t.upper(), OTHER_RANK), len(t)))
+    """One type string for several: the widest, of those as wide the longest, of those as long the first (S-02, mode 'reference')."""
+    kinds = list(dict.fromkeys(types))
+
+    def wide(kind: str) -> tuple[int, int]:
+        name = kind.upper()
+        return WIDER.index(name if name in WIDER else OTHER), len(kind)
+
+    widest = sorted(kinds, key=wide, reverse=True)[0]
+    return widest.upper() if len(kinds) > 1 and widest.upper() == WIDER[-1] else widest
 
 
 def merge_deep(a: T.DataType, b: T.DataType) -> T.DataType:

@@ -24,3 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -10,6 +10,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeloom.functions.taxonomy import REVIEWED_TYPE, UNREVIEWED_TYPE
+
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -69,6 +71,24 @@ class Tables:
         return self.nation.select("n_nationkey", "n_name", F.array(first, second, third, fourth).alias("lineage"))
 
 
+    @cached_property
+    def records(self) -> DataFrame:
+        """A nested record for each order, as a JSON string in ``value``."""
+        o, c, n = self.orders, self.customer, self.lineages
+        entry = F.when(F.col("o_orderstatus") == "F", REVIEWED_TYPE).when(F.col("o_orderstatus") == "O", UNREVIEWED_TYPE).otherwise("other")
+        place = F.struct(F.struct((F.col("l_partkey") % 500).alias("value")).alias("start"), F.when(F.col("l_linenumber") != 3, F.struct((F.col("l_partkey") % 500 + 9).alias("value"))).alias("end"))
+        parts = self.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.struct(F.concat("l_returnflag", "l_linestatus").alias("type"), place.alias("location"), F.col("l_linenumber").cast("string").alias("description"))).alias("features"))
+        gene = F.when(F.col("o_custkey") % 3 == 0, F.array(F.struct(F.struct(F.col("c_name").alias("value")).alias("geneName")))).when(F.col("o_custkey") % 3 == 1, F.from_json(F.lit("[]"), "array<struct<geneName:struct<value:string>>>"))
+        rows = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey).join(parts, o.o_orderkey == parts.l_orderkey, "left")
+        text = F.repeat(F.lit("CAD"), (F.col("o_orderkey") % 40 + 1).cast("int"))
+        record = F.struct(
+            entry.alias("entryType"), F.concat(F.lit("P"), F.col("o_orderkey").cast("string")).alias("primaryAccession"), F.concat(F.lit("ID"), F.col("o_orderkey").cast("string")).alias("uniProtkbId"),
+            F.struct(F.col("n_name").alias("scientificName"), F.col("o_custkey").alias("taxonId"), F.col("lineage")).alias("organism"), gene.alias("genes"), F.col("features"),
+            F.array("o_orderpriority").alias("keywords"), F.struct(text.alias("value"), F.length(text).cast("long").alias("length"), F.floor("o_totalprice").cast("long").alias("molWeight"), F.md5(text).alias("md5")).alias("sequence"),
+        )
+        return rows.select(F.to_json(record).alias("value"))
+
+
 CORE = """core AS (
   SELECT o_orderkey AS acc, 'E' || o_orderkey AS id, n_name AS organism_name, c_name AS gene_name,
     if(o_orderstatus = 'F', 'reviewed', 'unreviewed') AS review_status, lower(r_name) AS tax_division,
@@ -86,5 +106,10 @@ LINEAGES = """lineages AS (
   FROM nation)"""
 
 
+RECORDS = """records AS (
+  SELECT *, CASE o_orderstatus WHEN 'F' THEN 'reviewed' ELSE 'unreviewed' END AS review_status, repeat('CAD', CAST(o_orderkey % 40 + 1 AS INT)) AS sequence
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN divisions ON c_nationkey = n_nationkey)"""
+
+
 def with_(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"

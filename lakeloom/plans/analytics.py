@@ -6,11 +6,20 @@ last unless said otherwise.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lakeloom.functions import scalars
+from lakeloom.operators import dataflow
 from lakeloom.operators.dataflow import overlaps
 from lakeloom.operators.tables import KEYS, TRIPLE
 
@@ -47,13 +56,26 @@ def type_distribution(features: DataFrame, status: str = "reviewed") -> DataFram
     return features.where(F.col("review_status") == status).groupBy("type").agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc_nulls_first("count"), "type")
 
 
+def quantiles(rows: DataFrame, column: str, at: tuple[float, ...]) -> DataFrame:
+    """One row of exact, interpolated quantiles p0, p1, ...: values are ranked in ranges, and the ranks needed are picked."""
+    x = rows.select(F.col(column).cast("double").alias("x")).where("x is not null")
+    n = x.count()
+    places = [(n - 1) * q for q in at]
+    need = sorted({k for p in places for k in (math.floor(p), math.ceil(p))}) if n else []
+    picked = dataflow.ranked(x, "x").where(F.col("position").isin(need)) if n else x.withColumn("position", F.lit(0))
+    value = lambda k: F.max(F.when(F.col("position") == k, F.col("x")))
+    return picked.agg(*[(value(math.floor(p)) + (value(math.ceil(p)) - value(math.floor(p))) * F.lit(p - math.floor(p))).alias(f"p{i}") for i, p in enumerate(places)])
+
+
 def describe(rows: DataFrame, *columns: str) -> DataFrame:
     """Q3a: count, mean, std, min, quartiles (exact, interpolated) and max, a row a column."""
-    one = []
+    out = []
     for c in columns:
         x = F.col(c).cast("double")
-        one.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.percentile(x, F.lit(0.25)).alias("p25"), F.percentile(x, F.lit(0.5)).alias("p50"), F.percentile(x, F.lit(0.75)).alias("p75"), F.max(x).alias("max")))
-    return rows.agg(F.array(*one).alias("d")).select(F.inline("d"))
+        one = rows.agg(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+        parts = quantiles(rows, c, (0.25, 0.5, 0.75))
+        out.append(one.join(parts).select("column", "count", "mean", "std", "min", F.col("p0").alias("p25"), F.col("p1").alias("p50"), F.col("p2").alias("p75"), "max"))  # a row beside a row
+    return reduce(DataFrame.unionByName, out)
 
 
 def top_organisms(core: DataFrame, status: str = "reviewed", n: int = 10) -> DataFrame:
@@ -131,9 +153,32 @@ def top_per_organism(core: DataFrame, n: int = 3) -> DataFrame:
 
 
 def composition(seqs: DataFrame, by: str = "review_status", letters: str = scalars.RESIDUES) -> DataFrame:
-    """Q6h: percentage of each letter in all sequences of a group, in one pass and one wide aggregate."""
-    counts = [F.sum(scalars.letter_count(F.col("sequence"), c)).alias(f"n_{c}") for c in letters]
-    total = seqs.groupBy(by).agg(*counts, F.sum(F.length("sequence")).alias("total"))
+    """Q6h: percentage of each letter in all sequences of a group. Bytes are counted a batch at a time, and the partial counts
+    of the groups are added up: no copy of the text is made for each letter."""
+    names = [*(f"n_{c}" for c in letters), "total"]
+    codes = np.frombuffer(letters.encode("ascii"), np.uint8)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            group = pc.dictionary_encode(b.column(0), null_encoding="encode")
+            kinds = group.indices.to_numpy()
+            text = pc.fill_null(b.column(1), "").cast(pa.large_binary())
+            ends = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+            data = np.frombuffer(text.buffers()[2], np.uint8) if ends[-1] > ends[0] else np.zeros(0, np.uint8)
+            n = np.zeros((len(group.dictionary), 256), np.int64)
+            a = 0
+            while a < len(text):  # some million letters at a time
+                z = max(a + 1, int(np.searchsorted(ends, ends[a] + (1 << 22), "right")) - 1)
+                of = np.repeat(kinds[a:z].astype(np.int32) * 256, np.diff(ends[a : z + 1]))
+                n += np.bincount(of + data[ends[a] : ends[z]], minlength=n.size).reshape(n.shape)
+                a = z
+            total = n.sum(1) - n[:, 0x80:0xC0].sum(1)  # characters: bytes that don't go on
+            yield pa.RecordBatch.from_arrays([group.dictionary, *(pa.array(n[:, c], pa.int64()) for c in codes), pa.array(total, pa.int64())], [by, *names])
+
+    schema = T.StructType([seqs.schema[by], *(T.StructField(n, T.LongType()) for n in names)])
+    total = seqs.select(by, "sequence").mapInArrow(count, schema).groupBy(by).agg(*[F.sum(n).alias(n) for n in names])
     return total.select(by, *[scalars.percent(F.col(f"n_{c}"), F.col("total"), 2).alias(f"pct_{c}") for c in letters])
 
 

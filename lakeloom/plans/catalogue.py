@@ -14,12 +14,13 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lakeloom.functions import scalars, taxonomy
-from lakeloom.operators import dataflow, lake, validate
+from lakeloom.operators import dataflow, job, lake, schema, tables, validate
 from lakeloom.operators.shared import scratch
 from lakeloom.operators.tables import KEYS, TRIPLE
 from lakeloom.plans import analytics
-from lakeloom.plans.adapters import CORE, FEATURES, LINEAGES, SEQS, TEXTS, Tables, with_
+from lakeloom.plans.adapters import CORE, FEATURES, LINEAGES, RECORDS, SEQS, TEXTS, Tables, with_
 from lakeloom.sources import parquet, records
+from lakeloom.streaming.append import append_stream
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -561,3 +562,163 @@ def _df03(t: Tables) -> DataFrame:
         lake.write_table(df, f"{root}/{name}")
         out.append(parquet.read_lake(t.spark, root, name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("tab"), "n"))
     return out[0].unionByName(out[1])
+
+
+# ---- nested records
+
+
+RECORD = schema.parse_type(
+    "STRUCT(entryType VARCHAR, primaryAccession VARCHAR, uniProtkbId VARCHAR, organism STRUCT(scientificName VARCHAR, taxonId BIGINT, lineage VARCHAR[]), genes STRUCT(geneName STRUCT(value VARCHAR))[],"
+    ' features STRUCT(type VARCHAR, location STRUCT(start STRUCT(value BIGINT), "end" STRUCT(value BIGINT)), description VARCHAR)[], keywords VARCHAR[], sequence STRUCT(value VARCHAR, length BIGINT, molWeight BIGINT, md5 VARCHAR))'
+)
+_DIVISIONS = f"divisions AS (SELECT * FROM ({_SQL['cls01_tax_division']}))"
+_OF_RECORDS = with_(_DIVISIONS, RECORDS)
+_CORE_OF_RECORDS = """SELECT 'P' || o_orderkey AS acc, 'ID' || o_orderkey AS id, o_custkey AS taxid, n_name AS organism_name, if(o_custkey % 3 = 0, c_name, NULL) AS gene_name,
+  review_status, division AS tax_division, CAST(length(sequence) AS BIGINT) AS seq_len, CAST(floor(o_totalprice) AS BIGINT) AS seq_mass, md5(sequence) AS seq_md5, o_orderpriority AS keyword FROM records"""
+_CORE_NAMES = ["acc", "id", "taxid", "organism_name", "gene_name", "review_status", "tax_division", "seq_len", "seq_mass", "seq_md5"]
+
+
+def _record_files(t: Tables) -> str:
+    path = scratch(t.spark, "record-lines")
+    t.records.write.option("compression", "gzip").text(path)
+    return path
+
+
+def _record_table(t: Tables, name: str) -> DataFrame:
+    root = scratch(t.spark, "record-lake")
+    lake.build_lake(records.read_lines(t.spark, _record_files(t), RECORD), root, (name,))
+    return parquet.read_lake(t.spark, root, name)
+
+
+@query("t01_core", _OF_RECORDS + _CORE_OF_RECORDS)
+def _t01(t: Tables) -> DataFrame:
+    """Nested records to core: derived columns, keys, and what is passed on (T-01, SRC-03, PRJ-01 to PRJ-08)."""
+    return _record_table(t, "core").select(*_CORE_NAMES, F.get("keywords", F.lit(0)).alias("keyword"))
+
+
+@query("t02_seqs", _OF_RECORDS + "SELECT 'P' || o_orderkey AS acc, sequence, review_status, division AS tax_division FROM records")
+def _t02(t: Tables) -> DataFrame:
+    return _record_table(t, "seqs")
+
+
+@query("t03_features", _OF_RECORDS + "SELECT 'P' || o_orderkey AS acc, l_returnflag || l_linestatus AS type, l_partkey % 500 AS start_pos, if(l_linenumber <> 3, l_partkey % 500 + 9, NULL) AS end_pos, CAST(l_linenumber AS VARCHAR) AS description, review_status, division AS tax_division FROM records JOIN lineitem ON l_orderkey = o_orderkey")
+def _t03(t: Tables) -> DataFrame:
+    return _record_table(t, "features")
+
+
+@query("t14_old_core", _OF_RECORDS + "SELECT 'P' || o_orderkey AS \"primaryAccession\", CASE o_orderstatus WHEN 'F' THEN 'sp' WHEN 'O' THEN 'tr' ELSE 'other' END AS \"entryType\", CAST(length(sequence) AS BIGINT) AS \"seqLen\", CAST(floor(o_totalprice) AS BIGINT) AS \"molWeight\" FROM records")
+def _t14(t: Tables) -> DataFrame:
+    """The older core, by its exact test of the entry type (T-14, FLT-08, PRJ-09)."""
+    return tables.old_core(records.read_lines(t.spark, _record_files(t), RECORD))
+
+
+@query("t15_old_sequence", _OF_RECORDS + "SELECT 'P' || o_orderkey AS \"primaryAccession\", sequence, CAST(length(sequence) AS BIGINT) AS \"seqLen\", md5(sequence) AS md5 FROM records")
+def _t15(t: Tables) -> DataFrame:
+    return tables.old_sequence(records.read_lines(t.spark, _record_files(t), RECORD))
+
+
+@query("t07_validation", _OF_RECORDS + "SELECT review_status, division AS tax_division, count(*) AS n, true AS ok FROM records GROUP BY ALL")
+def _t07(t: Tables) -> DataFrame:
+    """A lake of all three tables, validated: its report's counts of core and its verdict (T-05, T-07, T-09, SNK-10)."""
+    root = scratch(t.spark, "validated")
+    lake.build_lake(records.read_lines(t.spark, _record_files(t), RECORD), root)
+    r = validate.validate(t.spark, root, strict=True)
+    return t.spark.createDataFrame([(*p, r.ok) for p in r.partitions["core"]], "review_status string, tax_division string, n long, ok boolean")
+
+
+@query("df00_job", _OF_RECORDS + _CORE_OF_RECORDS)
+def _df00(t: Tables) -> DataFrame:
+    """One job from wrapped documents to a validated lake: cut, infer, merge, transform, write, validate, in two runs, the
+    second adding to what the first made (DF-01 to DF-10, SRC-01, S-01 to S-03, T-01 to T-09)."""
+    docs, root = scratch(t.spark, "documents"), scratch(t.spark, "job-lake")
+    whole = t.records.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(4)))
+    whole.groupBy("part").agg(F.concat(F.lit('{"results":['), F.array_join(F.collect_list("value"), ","), F.lit("]}")).alias("value")).repartition("part").write.partitionBy("part").text(docs)
+    files = [r["path"] for r in parquet.list_files(t.spark, docs, suffix=".txt").collect()]
+    for k, some in enumerate((files[::2], files[1::2])):
+        if some:
+            job.run_job(t.spark, some, root, add=k > 0)
+    return parquet.read_lake(t.spark, root, "core").select(*_CORE_NAMES, F.get("keywords", F.lit(0)).alias("keyword"))
+
+
+@query("df07_append", _OF_RECORDS + "SELECT review_status, division AS tax_division, count(*) AS n FROM records GROUP BY ALL")
+def _df07(t: Tables) -> DataFrame:
+    """A lake built from some records, and added to by a stream over the files of the others (DF-07)."""
+    root, rest = scratch(t.spark, "grown"), scratch(t.spark, "later-lines")
+    early = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    lake.build_lake(records.parse_lines(t.records.where(early), RECORD), root)
+    t.records.where(~early).write.text(rest)
+    append_stream(t.spark, rest, RECORD, root, scratch(t.spark, "append-log")).awaitTermination()
+    return validate.partition_counts(t.spark, root, "core")
+
+
+# ---- schemas
+
+
+def _values(columns: str, rows: list[tuple]) -> str:
+    text = lambda x: "'" + x.replace("'", "''") + "'" if isinstance(x, str) else str(x)
+    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(text, r)) + ')' for r in rows)}) AS v({columns})"
+
+
+_INFERRED = [("c_acctbal", "DOUBLE"), ("c_custkey", "BIGINT"), ("day", "DATE"), ("nest", "STRUCT(a VARCHAR, b BIGINT[])"), ("open", "BOOLEAN")]
+
+
+@query("s01_inferred", _values("column_name, column_type", _INFERRED))
+def _s01(t: Tables) -> DataFrame:
+    """The schema of JSON lines by a full scan, dates told from strings (S-01, S-05, SRC-05, SRC-06)."""
+    path = scratch(t.spark, "infer")
+    nest = F.struct(F.col("c_name").alias("a"), F.array(F.col("c_custkey")).alias("b")).alias("nest")
+    t.customer.select("c_custkey", "c_acctbal", F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("c_nationkey")), "yyyy-MM-dd").alias("day"), (F.col("c_acctbal") > 0).alias("open"), nest).write.json(path)
+    return schema.describe(t.spark.createDataFrame([], schema.infer(t.spark, path))).select("column_name", "column_type")
+
+
+_MERGES = [
+    ("BIGINT|BIGINT", "BIGINT"), ("BIGINT|DOUBLE", "DOUBLE"), ("BOOLEAN|BIGINT", "BIGINT"), ("BIGINT|VARCHAR", "VARCHAR"), ("JSON|VARCHAR", "VARCHAR"),
+    ("STRUCT(a BIGINT)|STRUCT(a BIGINT, b VARCHAR)", "STRUCT(a BIGINT, b VARCHAR)"), ("STRUCT(a BIGINT)|JSON", "JSON"), ("BIGINT|STRUCT(a BIGINT)", "STRUCT(a BIGINT)"),
+    ("DATE|TIMESTAMP", "TIMESTAMP"), ("DATE|BIGINT", "DATE"), ("BIGINT[]|DOUBLE", "BIGINT[]"),
+]
+
+
+@query("s02_merged_types", _values("types, merged", _MERGES))
+def _s02(t: Tables) -> DataFrame:
+    return t.spark.createDataFrame([(x, schema.merge_types(x.split("|"))) for x, _ in _MERGES], "types string, merged string")
+
+
+@query("s03_merged_schemas", _values("mode, column_name, column_type", [
+    ("reference", "a", "DOUBLE"), ("reference", "b", "STRUCT(x BIGINT, yy VARCHAR)"), ("reference", "c", "VARCHAR"),
+    ("deep", "a", "DOUBLE"), ("deep", "b", "STRUCT(z DOUBLE, x BIGINT, yy VARCHAR)"), ("deep", "c", "VARCHAR"),
+]))
+def _s03(t: Tables) -> DataFrame:
+    """Schemas of several chunks to one, by rank alone and field by field (S-03)."""
+    some = [{"a": "BIGINT", "b": "STRUCT(z DOUBLE)"}, {"c": "VARCHAR", "b": "STRUCT(x BIGINT, yy VARCHAR)", "a": "DOUBLE"}]
+    return t.spark.createDataFrame([(m, c, k) for m in ("reference", "deep") for c, k in schema.merge_schemas(some, m).items()], "mode string, column_name string, column_type string")
+
+
+_TYPES = ["BIGINT", "VARCHAR[]", "STRUCT(a BIGINT, \"b c\" VARCHAR[])", "MAP(VARCHAR, JSON)[]", "DECIMAL(12,2)", "STRUCT(s STRUCT(t DATE)[])[]"]
+
+
+@query("s04_type_strings", _values("given, parsed", [(x, x) for x in _TYPES]))
+def _s04(t: Tables) -> DataFrame:
+    """Type strings to Spark types and back, through an empty table of each (S-04, S-06)."""
+    seen = lambda x: schema.describe(t.spark.createDataFrame([], schema.reader_schema({"c": x}))).first()["column_type"]
+    return t.spark.createDataFrame([(x, seen(x)) for x in _TYPES], "given string, parsed string")
+
+
+# ---- footers
+
+
+@query("q4_footer_rows", with_(CORE) + "SELECT count(*) AS n, CAST(8 - 2 AS BIGINT) AS columns FROM core")
+def _q4_rows(t: Tables) -> DataFrame:
+    """Rows and columns by the footers of a written lake; the keys are folders (SRC-16, SRC-19)."""
+    return parquet.file_metadata(t.spark, parquet.list_files(t.spark, _lake(t))).agg(F.sum("num_rows").alias("n"), F.max("num_columns").cast("long").alias("columns"))
+
+
+@query("q4a_statistics", with_(CORE) + "SELECT 'seq_len' AS \"column\", min(seq_len) AS low, max(seq_len) AS high, count(*) - count(seq_len) AS nulls FROM core UNION ALL SELECT 'acc', min(acc), max(acc), count(*) - count(acc) FROM core")
+def _q4a_statistics(t: Tables) -> DataFrame:
+    """Least, greatest and nulls of columns by the statistics of row groups alone (SRC-17)."""
+    groups = parquet.row_groups(t.spark, parquet.list_files(t.spark, _lake(t))).where(F.col("column").isin("seq_len", "acc"))
+    return groups.groupBy("column").agg(F.min(F.col("min_value").cast("long")).alias("low"), F.max(F.col("max_value").cast("long")).alias("high"), F.sum("null_count").cast("long").alias("nulls"))
+
+
+@query("str10_file_parts", "SELECT page_id, string_split(regexp_replace(regexp_extract(url, '([^/]*)$', 1), '\\.[^.]*$', ''), '.') AS parts FROM pages")
+def _str10(t: Tables) -> DataFrame:
+    return t.pages.select("page_id", scalars.file_parts(F.col("url")).alias("parts"))

@@ -86,7 +86,7 @@ def elements(path: str, field: str = "results", chunk: int = 1 << 20) -> Iterato
             while True:
                 c = skip()
                 if c in ("}", ""):
-                    return
+                    raise ValueError(f"no array under {field!r} in {path}" if c else f"{path} ends before {field!r}")
                 if c == ",":
                     at += 1
                     continue
@@ -120,7 +120,7 @@ class _OneFile(InputPartition):
 
 class _ArrayReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
-        self.paths, self.field = [p for p in options["path"].split(",") if p], options.get("field", "results")
+        self.paths, self.field = json.loads(options["files"]), options.get("field", "results")
 
     def partitions(self) -> list[InputPartition]:
         return [_OneFile(p) for p in self.paths]
@@ -147,7 +147,7 @@ class JsonArraySource(DataSource):
 def stream_array(spark: SparkSession, paths: str | list[str], schema: T.StructType, field: str = "results") -> DataFrame:
     """Records of documents too large to be one row."""
     spark.dataSource.register(JsonArraySource)
-    text = spark.read.format("json_array").option("field", field).load(paths if isinstance(paths, str) else ",".join(paths))
+    text = spark.read.format("json_array").option("field", field).option("files", json.dumps([paths] if isinstance(paths, str) else list(paths))).load()
     return parse_lines(text, schema)
 
 
