@@ -91,6 +91,7 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+_sent: set[tuple[str, str]] = set()
 _caches: dict[str, list] = {}
 
 
@@ -108,6 +109,21 @@ def claim(owner: str) -> None:
                 s.clear()
 
 
+def send(spark: SparkSession, path: str) -> None:
+    """Sends a file of the driver to all executors, once."""
+    if (spark.sparkContext.applicationId, path) not in _sent:
+        spark.sparkContext.addFile(path)
+        _sent.add((spark.sparkContext.applicationId, path))
+
+
+def received(path: str) -> str:
+    """Where a worker finds a file that was sent."""
+    from pyspark import SparkFiles
+
+    here = SparkFiles.get(os.path.basename(path))
+    return here if os.path.exists(here) else path
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

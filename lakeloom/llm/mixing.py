@@ -151,7 +151,7 @@ def assignment(docs: DataFrame, weights: dict[str, float] | None = None, block_d
     base = docs.select(F.col("doc_id").alias("doc_id"), *identity(docs)).distinct()
     base = saved(base.withColumn("h", F.xxhash64(F.lit(seed), "source", "doc_id", "own")), "mix-keys")
     n = base.count()
-    bits = max(1, min(16, math.ceil(math.log2(max(2, n / BUCKET_DOCS)))))
+    bits = max(1, min(24, math.ceil(math.log2(max(2, n / BUCKET_DOCS)))))
     keyed = base.withColumn("bucket", F.shiftrightunsigned("h", 64 - bits).cast("int"))
     counts = keyed.groupBy("source", "bucket").count()
     # the documents before each bucket in its source's order: sources x buckets rows

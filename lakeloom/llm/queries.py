@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lakeloom.llm import exact_dedup, itq, line_dedup, minhash, mixing, quality, secret_forest, spm, tokencount, url_trust
 from lakeloom.llm.common import documents
@@ -24,7 +23,7 @@ def op2_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sf_dir}/documents.parquet"
-    return exact_dedup.drop_copies(documents(spark, sf_dir), path).select("doc_id", F.sha2("text", 256).alias("digest"), F.col("n_chars"))
+    return exact_dedup.drop_copies(documents(spark, sf_dir), path)
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +43,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.drop_near_copies(documents(spark, sf_dir)).select("doc_id", "lang", "source", "n_chars")
+    return minhash.drop_near_copies(documents(spark, sf_dir))
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,5 +63,5 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
-    "op3_exact_dedup": "SELECT doc_id, sha256(text) AS digest, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k FROM documents) WHERE text IS NULL OR k = 1",
+    "op3_exact_dedup": "SELECT doc_id, text, lang, source, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k FROM documents) WHERE text IS NULL OR k = 1",
 }

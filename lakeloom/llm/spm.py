@@ -22,7 +22,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import cache, claim, ship
+from lakeloom.llm.common import cache, claim, received, send, ship
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -384,10 +384,11 @@ def steps(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.Rec
 def sentencepiece(docs: DataFrame, model_path: str) -> DataFrame:
     """Rows (doc_id, n_tokens, ids, decoded), one for each row of ``docs``; narrow, without a shuffle."""
     ship(docs.sparkSession)
+    send(docs.sparkSession, model_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("spm")
-        e = encoder(model_path)
+        e = encoder(received(model_path))
         for part, texts in steps(batches, 1):
             ids, n = e.encode(texts)
             decoded = e.v.decode_flat(ids, n)

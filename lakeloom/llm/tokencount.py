@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import cache, claim, ship
+from lakeloom.llm.common import cache, claim, received, send, ship
 from lakeloom.llm.spm import ChunkMemo, Grown, UnigramVocabulary, chunked, steps
 
 
@@ -84,10 +84,11 @@ def counter(path: str) -> PieceCounter:
 def token_counts(docs: DataFrame, model_path: str) -> DataFrame:
     """(doc_id, n_tokens) of every row; narrow."""
     ship(docs.sparkSession)
+    send(docs.sparkSession, model_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("tokencount")
-        c = counter(model_path)
+        c = counter(received(model_path))
         for part, texts in steps(batches, 1):
             null = part.column(1).is_null().to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(c.counts(texts), pa.int64(), mask=null)], ["doc_id", "n_tokens"])
