@@ -242,3 +242,66 @@ def test_scalars(spark):
     df = spark.createDataFrame([("aXbXX", 0, "/x/human.core.tsv"), (None, 4, None)], "s string, n int, p string")
     got = df.select(scalars.letter_count(F.col("s"), "X").alias("a"), scalars.pattern_count(F.col("s"), "[ab]").alias("b"), scalars.ratio(F.lit(8), F.col("n")).alias("c"), scalars.percent(F.lit(1), F.col("n"), 1).alias("d"), scalars.bar(F.col("n"), F.lit(4), 8, "#").alias("e"), scalars.file_parts(F.col("p")).alias("f")).collect()
     assert [tuple(r) for r in got] == [(3, 2, None, None, "", ["human", "core"]), (None, None, 2.0, 25.0, "########", None)]
+
+
+def test_job_builds_and_adds(spark, tmp_path):
+    """Two runs of the job over wrapped documents; the second's records have a column more, which the schema takes in."""
+    from lakeloom.operators import job
+
+    docs = [RECORDS[:20], [{**r, "extra": i} for i, r in enumerate(RECORDS[20:])]]
+    for k, d in enumerate(docs):
+        (tmp_path / f"d {k},x.json").write_text(json.dumps({"results": d}))
+    root = str(tmp_path / "lake")
+    for k in range(2):
+        report = job.run_job(spark, str(tmp_path / f"d {k},x.json"), root, "test", add=k > 0)
+        assert report.ok and report.rows["core"] == (20, len(RECORDS))[k]
+    core = parquet.read_union(spark, [f"{root}/core"], f"{root}/core")
+    assert core.where("extra is not null").count() == len(RECORDS) - 20
+    assert {r["acc"] for r in core.collect()} == {r["primaryAccession"] for r in RECORDS}
+    assert "extra" in json.loads((tmp_path / "lake/_schema.json").read_text()) and "core = seqs: OK" in (tmp_path / "lake/_report.txt").read_text()
+    with pytest.raises(Exception, match="already exists"):
+        job.run_job(spark, str(tmp_path / "d 0,x.json"), root, "test")
+
+
+def test_stream_adds_to_a_built_lake(spark, root, tmp_path):
+    import shutil
+
+    shutil.copytree(root, tmp_path / "lake")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.json").write_text("\n".join(json.dumps({**r, "primaryAccession": "N" + r["primaryAccession"]}) for r in RECORDS[:9]))
+    append_stream(spark, str(tmp_path / "in"), SCHEMA, str(tmp_path / "lake"), str(tmp_path / "cp")).awaitTermination()
+    core = parquet.read_lake(spark, str(tmp_path / "lake"), "core")
+    assert core.count() == len(RECORDS) + 9 and core.where("acc like 'N%'").count() == 9
+    assert validate.validate(spark, str(tmp_path / "lake")).ok
+
+
+def test_documents_without_the_field_are_errors(tmp_path):
+    (tmp_path / "a.json").write_text('{"other": [1]}')
+    (tmp_path / "b.json").write_text('{"other": [1], ')
+    for name in ("a.json", "b.json"):
+        with pytest.raises(ValueError):
+            list(records.elements(str(tmp_path / name)))
+
+
+def test_ranks_of_skewed_values(spark):
+    """Most rows share one value, some are null: places are 0 to n - 1, in order; quartiles are exact."""
+    import numpy as np
+
+    from lakeloom.plans import analytics
+
+    values = [None] * 3 + [5.0] * 700 + [float(i) for i in range(300)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
+    got = sorted((r["position"], r["x"]) for r in dataflow.ranked(df, "x").collect())
+    assert [p for p, _ in got] == list(range(len(values)))
+    assert [x for _, x in got] == sorted(values, key=lambda v: (v is not None, v or 0.0))
+    q = analytics.quantiles(df, "x", (0.0, 0.25, 0.77, 1.0)).first()
+    assert np.allclose(list(q), np.quantile(values[3:], [0, 0.25, 0.77, 1]))
+    assert analytics.describe(df.limit(0), "x").first()["p50"] is None
+
+
+def test_composition_counts_characters(spark):
+    from lakeloom.plans import analytics
+
+    rows = [("a", "AACé"), ("a", None), (None, "CC"), ("b", ""), ("c", "AC" * 3_000_000)]
+    got = {r["g"]: (r["pct_A"], r["pct_C"]) for r in analytics.composition(spark.createDataFrame(rows, "g string, sequence string"), "g", "AC").collect()}
+    assert got == {"a": (50.0, 25.0), None: (0.0, 100.0), "b": (None, None), "c": (50.0, 50.0)}
