@@ -27,7 +27,7 @@ TRUSTED, BLOCKED = (r"\.org$",), (r"^blog\.",)
 DAMPING, EACH, BALANCE, AFFILIATION = 0.85, 8, 1.0, 1.0
 TOLERANCE = 1e-6
 ROUNDS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
-BROADCAST_HOSTS = 100_000
+BROADCAST_HOSTS, HOT_LINKS = 100_000, 1_000_000
 HOST = r"^\s*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#@\s]*@)?([^/?#:\s]+)"
 LINK = r"""<a\s[^>]*?href\s*=\s*["']?\s*((?:[A-Za-z][A-Za-z0-9+.\-]*:)?//[^"'\s>]+)"""
 
@@ -60,7 +60,11 @@ def propagate(edges: DataFrame, hosts: DataFrame, trusted: tuple[str, ...] = TRU
     forward = edges.join(out, "src").select(F.col("src").alias("host"), F.lit("trust").alias("kind"), F.col("dst").alias("to"), (F.col("weight") / F.col("w")).alias("share"))
     back = edges.join(into, "dst").select(F.col("dst").alias("host"), F.lit("distrust").alias("kind"), F.col("src").alias("to"), (F.col("weight") / F.col("w")).alias("share"))
     made = saved(forward.unionByName(back), "trust-flows")
-    flows = made.repartition("host").persist()  # lost parts are read again from the table
+    # hosts of very many links (a row for HOT_LINKS of them at most) have theirs spread, and their ranks are sent there
+    hot = saved(made.groupBy("host", "kind").count().where(F.col("count") > HOT_LINKS).select("host", "kind"), "trust-hot")
+    some = hot.count() > 0
+    heavy = made.join(F.broadcast(hot), ["host", "kind"]).repartition("to").persist() if some else None
+    flows = (made.join(F.broadcast(hot), ["host", "kind"], "left_anti") if some else made).repartition("host").persist()  # lost parts are read again from the table
     every = hosts.select("host").unionByName(edges.select(F.col("src").alias("host"))).unionByName(edges.select(F.col("dst").alias("host"))).where("host is not null").distinct()
     bad = matches(F.col("host"), blocked)
     kind = F.when(bad, "distrust").when(matches(F.col("host"), trusted), "trust")
@@ -69,20 +73,25 @@ def propagate(edges: DataFrame, hosts: DataFrame, trusted: tuple[str, ...] = TRU
     seeds = saved(seeds.join(F.broadcast(sizes), "kind").select("host", "kind", (1 / F.col("n")).alias("rank")), "trust-seeds")
     base, rank, path = seeds.withColumn("rank", F.col("rank") * (1 - DAMPING)), seeds, None
     for i in range(rounds):
-        pushed = rank.join(flows, ["host", "kind"]).select(F.col("to").alias("host"), "kind", (F.col("rank") * F.col("share") * DAMPING).alias("rank"))
+        met = rank.join(flows, ["host", "kind"])
+        if heavy is not None:
+            met = met.unionByName(heavy.join(F.broadcast(rank.join(F.broadcast(hot), ["host", "kind"])), ["host", "kind"]).select(*met.columns))
+        pushed = met.select(F.col("to").alias("host"), "kind", (F.col("rank") * F.col("share") * DAMPING).alias("rank"))
         rank = pushed.unionByName(base).groupBy("host", "kind").agg(F.sum("rank").alias("rank"))
-        if i % EACH == EACH - 1 or i == rounds - 1:
+        if i % EACH == EACH - 1 or i == rounds - 1 or some:
             new = scratch(spark, "trust-rank")
             rank = reread(rank, new)
             if path:
                 delete(spark, path)
             path = new
-    flows.unpersist()
+    for t in (flows, heavy):
+        if t is not None:
+            t.unpersist()
     total = rank.groupBy("kind").agg(F.sum("rank").alias("total"))
     scaled = rank.join(F.broadcast(total), "kind").withColumn("rank", F.col("rank") / F.col("total"))
     wide = scaled.groupBy("host").agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("rank"))), F.lit(0.0)).alias(k) for k in ("trust", "distrust")])
     out = saved(every.join(wide, "host", "left").fillna(0.0, ["trust", "distrust"]), "trust-hosts")
-    forget(edges, made, seeds)
+    forget(edges, made, hot, seeds)
     if path:
         delete(spark, path)
     return out

@@ -106,3 +106,15 @@ def test_rounds_reach_the_fixed_point(spark):
     want /= want.sum()
     got = {r["host"]: r["trust"] for r in U.url_filter(df, (r"\.org$",), (r"^spam",)).collect()}
     assert sum(abs(got[h] - want[at[h]]) for h in got) < 3 * U.TOLERANCE and got["h30.example30.test"] > 0
+
+
+def test_hosts_of_very_many_links(spark, monkeypatch):
+    """Hosts with more links than HOT_LINKS have theirs spread; nothing changes."""
+    links = "".join(f'<a href="https://t{i}.test/">x</a>' for i in range(30))
+    rows = [(1, "https://hub.org/", links), (2, "https://t3.test/", '<a href="https://t4.test/">x</a><a href="https://blog.x.test/">y</a>'), (3, "https://t4.test/", '<a href="https://hub.org/">x</a>')]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    run = lambda: {r["host"]: (r["trust"], r["distrust"]) for r in U.url_filter(df, rounds=12).collect()}
+    want = run()
+    monkeypatch.setattr(U, "HOT_LINKS", 5)
+    got = run()
+    assert want["hub.org"][0] > 0 and all(abs(a - b) < 1e-15 for h in want for a, b in zip(want[h], got[h], strict=True))
