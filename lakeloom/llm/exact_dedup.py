@@ -112,11 +112,6 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def literal(path: str) -> str:
-    """A pattern that stands for this path alone."""
-    return "".join("\\" + c if c in "[]{}*?\\" else c for c in path)
-
-
 def slices_of(spark: SparkSession, path: str, home: str) -> int:
     """The number of slices of the stream at ``home``, which a name in its folder keeps; a new one's goes by its input."""
     hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
@@ -137,7 +132,7 @@ def first_seen(spark: SparkSession, path: str, schema: T.StructType, home: str,
     ship(spark)
     n = slices_of(spark, path, home)
     keyed = (
-        spark.readStream.schema(schema).parquet(f"{literal(path[:-1])}[{path[-1]}]")  # a pattern may stand for one file, a path only for a folder
+        spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")  # a pattern may stand for one file, a path only for a folder
         .select(digest_of(F.col("text")).alias("digest"), F.col("doc_id").try_cast("long").alias("doc_id"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
         .where("digest is not null")
         .mapInArrow(first_of_task, "digest binary, doc_id long, file string, row long, copy boolean")
@@ -161,9 +156,14 @@ def drop_copies(docs: DataFrame, path: str | None = None, home: str | None = Non
     """The rows of ``docs`` without those whose text an earlier one has.
 
     ``path``: the Parquet files that ``docs`` is, if it is a plain read of them; else they are written to the shared
-    folder, for the stream reads files. ``home``: the stream's own folder, kept between runs that continue each other.
+    folder, for the stream reads files; so they are if the path could be read as a pattern. ``home``: the stream's own folder,
+    kept between runs that continue each other.
     """
     spark = docs.sparkSession
+    if path is not None and set(path) & set("[]{}*?\\"):
+        if home is not None:
+            raise ValueError(f"{path} would be read as a pattern")
+        path = None
     if path is None:
         docs = saved(docs, "exact-input")
         path = docs.inputFiles()[0].rpartition("/")[0] if docs.inputFiles() else None

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from lakeloom.llm import exact_dedup, queries
@@ -44,3 +46,24 @@ def test_the_stream_goes_on_where_it_was(spark):
     docs(spark, [(1, "a"), (8, "c"), (9, "b")]).write.mode("append").parquet(folder)
     df = spark.read.parquet(folder)
     assert sorted(r["doc_id"] for r in exact_dedup.drop_copies(df, folder, home).collect()) == [5, 6, 8]
+
+
+def test_a_task_sends_on_the_first_of_its_copies():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(0)
+    rows = [(bytes([int(rng.integers(0, 6))]), None if rng.random() < 0.1 else int(rng.integers(0, 9)), "f", i) for i in range(200)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows[a : a + 30]], t) for k, t in enumerate((pa.binary(), pa.int64(), pa.string(), pa.int64()))], ["digest", "doc_id", "file", "row"]) for a in range(0, 200, 30)]
+    got = [tuple(r.values()) for b in exact_dedup.first_of_task(iter(batches)) for r in b.to_pylist()]
+    assert sorted(r[3] for r in got) == list(range(200))
+    for d in {r[0] for r in rows}:
+        first = min((r for r in rows if r[0] == d), key=lambda r: exact_dedup.order_of(*r[1:]))
+        assert [r[:4] for r in got if r[0] == d and not r[4]] == [first]
+
+
+def test_folders_whose_names_are_patterns(spark):
+    folder = scratch(spark, "in[1]{x}*")
+    docs(spark, [(i, f"text {i % 20}") for i in range(50)]).write.parquet(folder)
+    df = spark.read.parquet(re.sub(r"([\[\]{}*])", r"\\\1", folder))
+    assert sorted(r["doc_id"] for r in exact_dedup.drop_copies(df, folder).collect()) == list(range(20))
