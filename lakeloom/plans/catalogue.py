@@ -19,7 +19,7 @@ from lakeloom.operators.shared import scratch
 from lakeloom.operators.tables import KEYS, TRIPLE
 from lakeloom.plans import analytics
 from lakeloom.plans.adapters import CORE, FEATURES, LINEAGES, RECORDS, SEQS, TEXTS, Tables, with_
-from lakeloom.sources import parquet, records
+from lakeloom.sources import parquet, records, server
 from lakeloom.streaming.append import append_stream
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -722,3 +722,27 @@ def _q4a_statistics(t: Tables) -> DataFrame:
 @query("str10_file_parts", "SELECT page_id, string_split(regexp_replace(regexp_extract(url, '([^/]*)$', 1), '\\.[^.]*$', ''), '.') AS parts FROM pages")
 def _str10(t: Tables) -> DataFrame:
     return t.pages.select("page_id", scalars.file_parts(F.col("url")).alias("parts"))
+
+
+# ---- files over HTTP
+
+
+def _remote(t: Tables, table: str, *columns: str) -> DataFrame:
+    """A table's files by URL, only the bytes of some columns (SRC-09, SNK-15)."""
+    files = [r["path"] for r in parquet.list_files(t.spark, f"{t.sf_dir}/{table}.parquet").collect()]
+    return parquet.read_http(t.spark, server.urls(t.spark, t.sf_dir, files), list(columns))
+
+
+@query("q5b_remote_scan", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+def _q5b(t: Tables) -> DataFrame:
+    return _remote(t, "orders", "o_orderkey", "o_totalprice", "o_orderstatus").where("o_orderstatus = 'F'").drop("o_orderstatus")
+
+
+@query("q5c_remote_totals", "SELECT count(*) AS n, round(avg(o_totalprice)) AS mean, min(o_totalprice) AS low, max(o_totalprice) AS high FROM orders")
+def _q5c_remote(t: Tables) -> DataFrame:
+    return _remote(t, "orders", "o_totalprice").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("o_totalprice")).alias("mean"), F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"))
+
+
+@query("q5d_remote_groups", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY ALL")
+def _q5d(t: Tables) -> DataFrame:
+    return _remote(t, "orders", "o_orderstatus").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
