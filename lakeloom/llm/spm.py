@@ -1,6 +1,7 @@
 """SentencePiece encoding and decoding with a unigram lattice.
 
-The vocabulary file gives pieces with log scores. Encoding is a Viterbi search over a double-array trie of the
+The vocabulary file gives pieces with log scores, and whether a text gets a marker before it; a file that asks for texts to be
+normalised otherwise is refused. Encoding is a Viterbi search over a double-array trie of the
 pieces' UTF-8 bytes: the best-scoring segmentation wins; among equal scores the one whose last piece is longest, at
 every position. A character that no piece of length one covers costs the least score minus 10 and becomes its bytes.
 Decoding joins pieces, turns the marker U+2581 to spaces, byte pieces to UTF-8, and drops the one leading space.
@@ -128,13 +129,18 @@ class UnigramVocabulary:
     @classmethod
     def load(cls, path: str) -> UnigramVocabulary:
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        spec = sentencepiece_model_pb2.ModelProto.FromString(sp.serialized_model_proto())
+        normal = spec.normalizer_spec
+        if normal.precompiled_charsmap or normal.remove_extra_whitespaces or not normal.escape_whitespaces or spec.trainer_spec.treat_whitespace_as_suffix:
+            raise ValueError(f"{path} normalises texts; only vocabularies of texts as they are can be used")
         kinds = []
         for i in range(sp.get_piece_size()):
             kinds.append(UNKNOWN if sp.is_unknown(i) else CONTROL if sp.is_control(i) else UNUSED if sp.is_unused(i) else BYTE if sp.is_byte(i) else NORMAL)
         n = len(kinds)
-        return cls([sp.id_to_piece(i) for i in range(n)], [sp.get_score(i) for i in range(n)], kinds)
+        return cls([sp.id_to_piece(i) for i in range(n)], [sp.get_score(i) for i in range(n)], kinds, normal.add_dummy_prefix)
 
     def normalised(self, text: str) -> str:
         return (MARK if self.dummy_prefix and text else "") + text.replace(" ", MARK)
