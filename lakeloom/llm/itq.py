@@ -56,8 +56,10 @@ def _summed(vectors: DataFrame, dim: int, size: int, per_batch) -> np.ndarray:
 
 def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
     """(vec_id, embedding) of the vectors that can be compared, and their dimension."""
-    rows = vectors.select(F.col("vec_id").try_cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    fine = F.expr("forall(embedding, x -> x is not null and not isnan(x) and abs(x) < 1e150) and exists(embedding, x -> abs(x) > 1e-150)")
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"  # floats are kept as they are: half the bytes
+    rows = vectors.select(F.col("vec_id").try_cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"))
+    fine = F.expr("forall(embedding, x -> x is not null and not isnan(x) and abs(cast(x as double)) < 1e150) and exists(embedding, x -> abs(cast(x as double)) > 1e-150)")
     rows = rows.where("vec_id is not null and embedding is not null").where(fine)
     most = rows.groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).first()
     dim = most["dim"] if most else 1
@@ -165,7 +167,7 @@ def near_groups(vectors: DataFrame, threshold: float = THRESHOLD, bits: int = BI
     reps = rows.select("vec_id", *alike).groupBy("k1", "k2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     same = saved(rows.select("vec_id", *alike).join(reps, ["k1", "k2"]).where("vec_id <> rep").select("vec_id", "rep", "k1", "k2"), "itq-alike")
     one = rows.select("vec_id", "embedding", *alike).join(same.select("vec_id", "k1", "k2"), ["vec_id", "k1", "k2"], "left_anti").select("vec_id", "embedding")
-    coded = saved(one.mapInArrow(code, "vec_id long, embedding array<double>, code long"), "itq-codes")
+    coded = saved(one.mapInArrow(code, f"vec_id long, embedding {rows.schema['embedding'].dataType.simpleString()}, code long"), "itq-codes")
     distinct = coded.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
 
     def keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
