@@ -87,18 +87,21 @@ class OrdinalModel:
     toxic: float = 0.0  # the share of toxic documents among those with marks
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        w, s, same, n = token_features(texts)
+        return self.scored(*token_features(texts))
+
+    def scored(self, w: np.ndarray, s: np.ndarray, same: np.ndarray, n: np.ndarray) -> np.ndarray:
         return sums(self.weights[w] + self.weights[s] + self.weights[REPEAT] * same, n) / np.maximum(n, 1)
 
     def judged(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The tails with marks taken into account, and whether marks make a text toxic."""
-        p = self.tails(self.scores(texts))
+        w, s, same, n = token_features(texts)
+        p = self.tails(self.scored(w, s, same, n))
         if not len(self.marks):
             return p, np.zeros(len(texts), bool)
-        flags = np.zeros(SIZE)
-        flags[self.marks] = 1
-        w, s, _, n = token_features(texts)
-        marked = sums(flags[w] + flags[s], n) > 0
+        flags = np.zeros(SIZE, bool)
+        flags[self.marks] = True
+        marked = np.zeros(len(texts), bool)
+        marked[np.searchsorted(np.cumsum(n), np.flatnonzero(flags[w] | flags[s]), "right")] = True
         p[marked, 1:] *= 1 - self.toxic
         return p, marked & (p[:, 1] < KEEP_TAIL)
 
