@@ -192,7 +192,8 @@ def members(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     same = sigs.select("node", "doc_id", "tk", "k1", "k2").join(reps, ["k1", "k2"]).where("node <> rep.node")
     same = saved(same.select("node", "doc_id", "tk", F.col("rep.node").alias("rep"), F.col("rep.doc_id").alias("rep_id"), F.col("rep.tk").alias("rep_tk")), "minhash-alike")
     met = saved(buckets(sigs.select("node", "keys").join(same.select("node"), "node", "left_anti"), keys_of, BANDS).distinct(), "minhash-buckets")
-    beside = in_blocks(met, BLOCK_ROWS).join(sigs.select(F.col("node").alias("id"), "sig"), "id").repartition("bucket").sortWithinPartitions("bucket", "id").select("bucket", F.col("id").alias("doc_id"), "sig")
+    # both sides grow with the documents: a merge at every size
+    beside = in_blocks(met, BLOCK_ROWS).join(sigs.select(F.col("node").alias("id"), "sig").hint("merge"), "id").repartition("bucket").sortWithinPartitions("bucket", "id").select("bucket", F.col("id").alias("doc_id"), "sig")
     found = components(beside.mapInArrow(_verify(threshold), "u long, v long"))
     tied = found.join(sigs.select("node", "doc_id", "tk"), "node")
     least = tied.groupBy("component").agg(F.min(F.struct("doc_id", "tk")).alias("keep"))
