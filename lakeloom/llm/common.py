@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
 from pathlib import Path
@@ -12,8 +13,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
-#: Folders of the shared folder that this process made and hasn't deleted.
-scratched: set[str] = set()
+
+
+class _Made(threading.local):
+    """Folders of the shared folder that this thread made and hasn't deleted."""
+
+    def __init__(self) -> None:
+        self.paths: set[str] = set()
+
+
+_made = _Made()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,12 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    scratched.add(path)
+    _made.paths.add(path)
     return path
 
 
 def delete(spark: SparkSession, path: str) -> None:
-    scratched.discard(path)
+    _made.paths.discard(path)
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
@@ -65,15 +74,19 @@ def forget(*tables: DataFrame) -> None:
             delete(t.sparkSession, t.saved_at)
 
 
+def made() -> set[str]:
+    return set(_made.paths)
+
+
 def clean(spark: SparkSession) -> None:
-    """Deletes all that this process has written to the shared folder: results that weren't written elsewhere end with it."""
-    for path in sorted(scratched):
+    """Deletes all that this thread has written to the shared folder: results that weren't written elsewhere end with it."""
+    for path in sorted(_made.paths):
         delete(spark, path)
 
 
 def sweep(spark: SparkSession, before: set[str], keep: DataFrame) -> None:
-    """Deletes what was written to scratch since ``before`` (a copy of ``scratched``), except ``keep``."""
-    for path in sorted(scratched - before - {keep.saved_at}):
+    """Deletes what this thread wrote to the shared folder since ``made()`` gave ``before``, except ``keep``."""
+    for path in sorted(_made.paths - before - {keep.saved_at}):
         delete(spark, path)
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.buckets import buckets, in_blocks, whole_groups
-from lakeloom.llm.common import forget, saved, ship
+from lakeloom.llm.common import made, saved, ship, sweep
 from lakeloom.llm.components import components
 
 BITS, TABLES, ROUNDS, THRESHOLD, SEED, NEAR = 63, 3, 12, 0.95, 3, 15
@@ -151,6 +151,7 @@ def near_groups(vectors: DataFrame, threshold: float = THRESHOLD, bits: int = BI
     """(vec_id, component) of the vectors that aren't alone."""
     spark = vectors.sparkSession
     ship(spark)
+    before = made()
     rows, dim = usable(vectors)
     rows = saved(rows, "itq-vectors")
     bits = min(bits, dim)
@@ -196,8 +197,8 @@ def near_groups(vectors: DataFrame, threshold: float = THRESHOLD, bits: int = BI
 
     edges = beside.repartition("bucket").sortWithinPartitions("bucket", "vec_id").mapInArrow(verify, "u long, v long")
     tied = edges.unionByName(same.select(F.col("vec_id").alias("u"), F.col("rep").alias("v")))
-    out = components(tied).select(F.col("node").alias("vec_id"), "component")
-    forget(rows, same, coded, pairs)
+    out = saved(components(tied).select(F.col("node").alias("vec_id"), "component"), "itq-groups")
+    sweep(spark, before, out)
     return out
 
 

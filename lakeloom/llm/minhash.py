@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakeloom.llm.buckets import buckets, in_blocks, whole_groups
-from lakeloom.llm.common import cache, claim, forget, fresh, quoted, saved, ship
+from lakeloom.llm.common import cache, claim, forget, fresh, made, quoted, saved, ship, sweep
 from lakeloom.llm.components import components
 from lakeloom.llm.spm import REMEMBERED, steps
 
@@ -186,6 +186,7 @@ def _verify(threshold: float):
 
 def members(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, tk, keep_id, keep_tk) of the documents in groups of several, a row for each row of ``docs``; the least stays."""
+    before = made()
     sigs = saved(signed(docs).select(F.monotonically_increasing_id().alias("node"), "doc_id", "tk", "sig", "keys", F.xxhash64("sig").alias("k1"), F.xxhash64(F.lit(7), "sig").alias("k2")), "minhash-signatures")
     one = F.struct("doc_id", "tk", "node")
     reps = sigs.groupBy("k1", "k2").agg(F.min(one).alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
@@ -203,7 +204,7 @@ def members(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rest = same.join(keep, "rep", "left").select("doc_id", "tk", F.coalesce("keep_id", "rep_id").alias("keep_id"), F.coalesce("keep_tk", "rep_tk").alias("keep_tk"))
     heads = same.select("rep", "rep_id", "rep_tk").distinct().join(keep, "rep", "left_anti").select(F.col("rep_id").alias("doc_id"), F.col("rep_tk").alias("tk"), F.col("rep_id").alias("keep_id"), F.col("rep_tk").alias("keep_tk"))
     out = saved(tied.drop("node").unionByName(rest).unionByName(heads), "minhash-groups")
-    forget(sigs, same, met, tied)
+    sweep(docs.sparkSession, before, out)
     return out
 
 
