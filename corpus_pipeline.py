@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeloom.llm import exact_dedup, minhash, mixing, quality, queries, spm
-from lakeloom.llm.common import documents, forget, saved, scratched, sweep
+from lakeloom.llm.common import documents, forget, made, saved, sweep
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +56,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        before, old = set(scratched), docs
+        before, old = made(), docs
         docs = saved(stage(spark, docs, sf_dir), "pipeline-" + name.split()[0].lower())
         sweep(spark, before, docs)
         forget(old)
