@@ -118,3 +118,47 @@ def test_hosts_of_very_many_links(spark, monkeypatch):
     monkeypatch.setattr(U, "HOT_LINKS", 5)
     got = run()
     assert want["hub.org"][0] > 0 and all(abs(a - b) < 1e-15 for h in want for a, b in zip(want[h], got[h], strict=True))
+
+
+def graph(spark, n=40):
+    """Pages with hubs, a ring, hosts without links and some seeds of both kinds."""
+    rows = [(i, f"https://h{i}.{('org', 'test')[i % 7 > 0]}/", "".join(f'<a href="https://h{j % n}.{("org", "test")[j % n % 7 > 0]}/">x</a>' for j in (i + 1, i * i, 3))) for i in range(n)]
+    rows += [(n, "https://blog.x.test/", '<a href="https://h5.test/">x</a>'), (n + 1, "https://h4.test/", '<a href="https://blog.x.test/">x</a>'), (n + 2, "https://alone.test/", None)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def test_one_task_and_rounds_agree(spark, monkeypatch):
+    """A graph that fits a task, and the same by a query a round, with and without hosts of very many links."""
+    df = graph(spark)
+    want = brute([(r["url"], r["html"]) for r in df.collect()], rounds=6)
+    assert sum(t > 0 for t, _ in want.values()) > 20 and sum(d > 0 for _, d in want.values()) > 20 and want["alone.test"] == (0, 0)
+    for task, hot in ((U.TASK_BYTES, U.HOT_LINKS), (-1, U.HOT_LINKS), (-1, 5)):
+        monkeypatch.setattr(U, "TASK_BYTES", task)
+        monkeypatch.setattr(U, "HOT_LINKS", hot)
+        got = {r["host"]: (r["trust"], r["distrust"]) for r in U.url_filter(df, rounds=6).collect()}
+        assert len(got) == 42 and all(abs(a - b) < 1e-14 for h in got for a, b in zip(got[h], want[h], strict=True))
+    monkeypatch.setattr(U, "HOT_LINKS", 1_000_000)
+    assert U.url_filter(df.limit(0)).count() == 0 and all(r["allowed"] for r in U.url_filter(df, (), (), 2).collect())
+
+
+def largest_plan(spark, do):
+    """Characters of the largest physical plan of the queries that ``do`` runs."""
+    bus, store = spark.sparkContext._jsc.sc().listenerBus(), spark._jsparkSession.sharedState().statusStore()
+    plans = lambda: {x.executionId(): len(x.physicalPlanDescription()) for x in (store.executionsList().apply(i) for i in range(store.executionsList().size()))}
+    bus.waitUntilEmpty(30_000)
+    before = plans()
+    do()
+    bus.waitUntilEmpty(30_000)
+    return max(n for k, n in plans().items() if k not in before)
+
+
+def test_plans_dont_grow_with_rounds(spark, monkeypatch):
+    """The driver's memory goes with the largest plan: no query holds several rounds."""
+    df = graph(spark, 10)
+    edges, hosts = U.host_edges(df.select("url", "html")).persist(), df.select(U.host_of(df["url"]).alias("host"))
+    edges.count()
+    for task in (U.TASK_BYTES, -1):
+        monkeypatch.setattr(U, "TASK_BYTES", task, raising=False)
+        sizes = [largest_plan(spark, lambda n=n: U.propagate(edges, hosts, rounds=n).count()) for n in (1, 8)]
+        assert sizes[1] < 1.2 * sizes[0], sizes
+    edges.unpersist()
