@@ -5,6 +5,7 @@ Each adapter exists twice, as a DataFrame and as SQL, so that queries can be hel
 
 from __future__ import annotations
 
+import math
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from lakeloom.functions.taxonomy import REVIEWED_TYPE, UNREVIEWED_TYPE
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+#: Bytes of a table's files whose rows one task takes, once they are shuffled by a key.
+PART_BYTES = 2 << 20
 
 
 class Tables:
@@ -26,9 +29,22 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def parts(self, table: str) -> int:
+        """In how many parts rows of a table are shuffled, so that a task's share doesn't grow with it; 0, left to Spark, where
+        the cores are as many."""
+        sc = self.spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{self.sf_dir}/{table}.parquet")
+        n = math.ceil(path.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(path).getLength() / PART_BYTES)
+        return n if n > sc.defaultParallelism else 0
+
+    @staticmethod
+    def spread(rows: DataFrame, parts: int, key: str) -> DataFrame:
+        return rows.repartition(parts, key) if parts else rows
+
     @cached_property
     def core(self) -> DataFrame:
-        o, c, n, r = self.orders, self.customer, self.nation, self.region
+        c, n, r = self.customer, self.nation, self.region
+        o = self.spread(self.orders, self.parts("orders"), "o_custkey")
         joined = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
         return joined.select(
             F.col("o_orderkey").alias("acc"),
@@ -41,9 +57,15 @@ class Tables:
             F.col("o_totalprice").alias("seq_mass"),
         )
 
+    @cached_property
+    def core_by_acc(self) -> DataFrame:
+        """core, shuffled like features: both meet by acc where they are."""
+        return self.spread(self.core, self.parts("lineitem"), "acc")
+
     @cached_property
     def features(self) -> DataFrame:
-        keys = self.core.select("acc", "review_status", "tax_division")
+        """Shuffled before they are counted or sorted: a scan's task has more rows the larger the files are."""
+        keys = self.core_by_acc.select("acc", "review_status", "tax_division")
         rows = self.lineitem.select(
             F.col("l_orderkey").alias("acc"),
             F.concat("l_returnflag", "l_linestatus").alias("type"),
@@ -51,7 +73,7 @@ class Tables:
             ((F.col("l_partkey") % 500) + F.col("l_quantity").cast("long")).alias("end_pos"),
             F.col("l_quantity").alias("weight"),
         )
-        return rows.join(keys, "acc")
+        return self.spread(rows, self.parts("lineitem"), "acc").join(keys, "acc")
 
     @cached_property
     def seqs(self) -> DataFrame:
@@ -70,23 +92,28 @@ class Tables:
         fourth = F.element_at(F.array(*map(F.lit, ("Craniata", "Mammalia", "Homo", "Phaeophyceae", "Insecta"))), F.col("n_nationkey") % 5 + 1)
         return self.nation.select("n_nationkey", "n_name", F.array(first, second, third, fourth).alias("lineage"))
 
-
-    @cached_property
+    @property
     def records(self) -> DataFrame:
         """A nested record for each order, as a JSON string in ``value``."""
-        o, c, n = self.orders, self.customer, self.lineages
+        return self.keyed_records().select("value")
+
+    def keyed_records(self, least: int = 0) -> DataFrame:
+        """Records beside their ``o_orderkey``, in ``least`` parts or more. The features of a record come in the order in which
+        a shuffle brings them, so ``value`` may differ from run to run: what splits the records must go by the key."""
+        o, c, n, parts_of_all = self.orders, self.customer, self.lineages, max(least, self.parts("lineitem"))
         entry = F.when(F.col("o_orderstatus") == "F", REVIEWED_TYPE).when(F.col("o_orderstatus") == "O", UNREVIEWED_TYPE).otherwise("other")
         place = F.struct(F.struct((F.col("l_partkey") % 500).alias("value")).alias("start"), F.when(F.col("l_linenumber") != 3, F.struct((F.col("l_partkey") % 500 + 9).alias("value"))).alias("end"))
-        parts = self.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.struct(F.concat("l_returnflag", "l_linestatus").alias("type"), place.alias("location"), F.col("l_linenumber").cast("string").alias("description"))).alias("features"))
+        parts = self.spread(self.lineitem, parts_of_all, "l_orderkey").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.concat("l_returnflag", "l_linestatus").alias("type"), place.alias("location"), F.col("l_linenumber").cast("string").alias("description"))).alias("features"))
         gene = F.when(F.col("o_custkey") % 3 == 0, F.array(F.struct(F.struct(F.col("c_name").alias("value")).alias("geneName")))).when(F.col("o_custkey") % 3 == 1, F.from_json(F.lit("[]"), "array<struct<geneName:struct<value:string>>>"))
-        rows = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey).join(parts, o.o_orderkey == parts.l_orderkey, "left")
+        entries = self.spread(self.spread(o, self.parts("orders"), "o_custkey").join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey), parts_of_all, "o_orderkey")
+        rows = entries.join(parts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         text = F.repeat(F.lit("CAD"), (F.col("o_orderkey") % 40 + 1).cast("int"))
         record = F.struct(
             entry.alias("entryType"), F.concat(F.lit("P"), F.col("o_orderkey").cast("string")).alias("primaryAccession"), F.concat(F.lit("ID"), F.col("o_orderkey").cast("string")).alias("uniProtkbId"),
             F.struct(F.col("n_name").alias("scientificName"), F.col("o_custkey").alias("taxonId"), F.col("lineage")).alias("organism"), gene.alias("genes"), F.col("features"),
             F.array("o_orderpriority").alias("keywords"), F.struct(text.alias("value"), F.length(text).cast("long").alias("length"), F.floor("o_totalprice").cast("long").alias("molWeight"), F.md5(text).alias("md5")).alias("sequence"),
         )
-        return rows.select(F.to_json(record).alias("value"))
+        return rows.select("o_orderkey", F.to_json(record).alias("value"))
 
 
 CORE = """core AS (
