@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from lakeloom.functions import scalars, taxonomy
 from lakeloom.operators import dataflow, job, lake, schema, tables, validate
-from lakeloom.operators.shared import scratch
+from lakeloom.operators.shared import QUICK_GZIP, scratch
 from lakeloom.operators.tables import KEYS, TRIPLE
 from lakeloom.plans import analytics
 from lakeloom.plans.adapters import CORE, FEATURES, LINEAGES, RECORDS, SEQS, TEXTS, Tables, with_
@@ -175,17 +175,17 @@ _COVER = """spans AS (SELECT acc, sum(CASE WHEN start_pos IS NOT NULL AND end_po
 
 @query("q6i_coverage", with_(CORE, FEATURES, _COVER) + "SELECT acc, gene_name, organism_name, seq_len, n_features, total_feature_span, round(CAST(total_feature_span AS DOUBLE) * 100.0::DOUBLE / seq_len, 1) AS pct_coverage FROM core JOIN spans USING (acc) WHERE seq_len > 0")
 def _q6i(t: Tables) -> DataFrame:
-    return analytics.coverage(t.core, t.features, n=None)
+    return analytics.coverage(t.core_by_acc, t.features, n=None)
 
 
 @query("q6i_coverage_top", with_(CORE, FEATURES, _COVER) + "SELECT acc, gene_name, organism_name, seq_len, n_features, total_feature_span, round(CAST(total_feature_span AS DOUBLE) * 100.0::DOUBLE / seq_len, 1) AS pct_coverage FROM core JOIN spans USING (acc) WHERE seq_len > 0 ORDER BY pct_coverage DESC NULLS LAST, acc LIMIT 15")
 def _q6i_top(t: Tables) -> DataFrame:
-    return analytics.coverage(t.core, t.features)
+    return analytics.coverage(t.core_by_acc, t.features)
 
 
 @query("q6i_exact_coverage", with_(CORE, FEATURES, "marks AS (SELECT DISTINCT acc, unnest(range(start_pos, end_pos + 1)) AS p FROM features)", "n AS (SELECT acc, count(*) AS covered FROM marks GROUP BY acc)") + "SELECT acc, seq_len, covered, round(CAST(covered AS DOUBLE) * 100.0::DOUBLE / seq_len, 1) AS pct_covered FROM core JOIN n USING (acc) WHERE seq_len > 0")
 def _q6i_exact(t: Tables) -> DataFrame:
-    return analytics.exact_coverage(t.core, t.features)
+    return analytics.exact_coverage(t.core_by_acc, t.features)
 
 
 # ---- the lake: sinks, sources, compaction, validation
