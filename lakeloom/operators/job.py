@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from lakeloom.operators import schema as schemas
 from lakeloom.operators.lake import ROWS_PER_FILE, staged, write_table
-from lakeloom.operators.shared import delete, scratch
+from lakeloom.operators.shared import QUICK_GZIP, delete, scratch
 from lakeloom.operators.tables import BUILDERS
 from lakeloom.operators.validate import Report, validate
 from lakeloom.sources.records import JsonArraySource, read_lines
@@ -57,7 +57,7 @@ def chunks(spark: SparkSession, paths: list[str], out: str, rows: int, field: st
     """Documents too large to be one row to JSON lines, ``rows`` a file at most; a document is read by one task, once."""
     spark.dataSource.register(JsonArraySource)
     lines = spark.read.format("json_array").option("field", field).option("files", json.dumps(paths)).load()
-    lines.write.option("maxRecordsPerFile", rows).option("compression", "gzip").text(out)
+    lines.write.option("maxRecordsPerFile", rows).options(**QUICK_GZIP).text(out)
 
 
 def merged_schema(spark: SparkSession, root: str, found: T.StructType) -> T.StructType:

@@ -6,8 +6,9 @@ the SQL together. Queries without SQL read footers or plans; tests hold them.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -626,13 +627,28 @@ def _t07(t: Tables) -> DataFrame:
     return t.spark.createDataFrame([(*p, r.ok) for p in r.partitions["core"]], "review_status string, tax_division string, n long, ok boolean")
 
 
+def _wrapped(rows: DataFrame) -> DataFrame:
+    """The lines of a document {"results": [...]} for each task's records, of any size: a task holds a batch of it."""
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wrap = lambda x: pa.RecordBatch.from_arrays([pa.array(x, pa.string())], ["value"])
+        yield wrap(['{"results":['])
+        comma = ""
+        for b in batches:
+            if b.num_rows:
+                yield wrap([comma + b.column(0)[0].as_py(), *("," + x for x in b.column(0)[1:].to_pylist())])
+                comma = ","
+        yield wrap(["]}"])
+
+    return rows.mapInArrow(lines, "value string")
+
+
 @query("df00_job", _OF_RECORDS + _CORE_OF_RECORDS)
 def _df00(t: Tables) -> DataFrame:
     """One job from wrapped documents to a validated lake: cut, infer, merge, transform, write, validate, in two runs, the
     second adding to what the first made (DF-01 to DF-10, SRC-01, S-01 to S-03, T-01 to T-09)."""
     docs, root = scratch(t.spark, "documents"), scratch(t.spark, "job-lake")
-    whole = t.records.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(4)))
-    whole.groupBy("part").agg(F.concat(F.lit('{"results":['), F.array_join(F.collect_list("value"), ","), F.lit("]}")).alias("value")).repartition("part").write.partitionBy("part").text(docs)
+    _wrapped(t.keyed_records(least=4).select("value")).write.text(docs)
     files = [r["path"] for r in parquet.list_files(t.spark, docs, suffix=".txt").collect()]
     for k, some in enumerate((files[::2], files[1::2])):
         if some:
