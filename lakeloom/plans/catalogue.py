@@ -581,7 +581,7 @@ _CORE_NAMES = ["acc", "id", "taxid", "organism_name", "gene_name", "review_statu
 
 def _record_files(t: Tables) -> str:
     path = scratch(t.spark, "record-lines")
-    t.records.write.option("compression", "gzip").text(path)
+    t.records.write.options(**QUICK_GZIP).text(path)
     return path
 
 
